@@ -1,4 +1,4 @@
 """Imports every family so that its queries register."""
 
-from . import addresses  # noqa: F401
+from . import addresses, patterns  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
