@@ -24,23 +24,18 @@ REFERENCE_RULES = ("fold_newline", "non_ascii", "tab")
 ASCII_TEXT_RULES = ("non_ascii", "tab", "carriage_return")
 ASCII_FILENAME_RULES = ("non_ascii", "slash", "space", "ampersand")
 
-# fixed values: date layouts tried in order, with a zone first
-ZONED_FORMATS = (
-    "EEE, d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss Z",
-    "EEE, d MMM yyyy HH:mm:ss z",
-    "EEE, d MMM yyyy HH:mm Z",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ssXXX",
-)
+# fixed values: date layouts tried in order, those with a zone offset first
+ZONED_FORMATS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ssXXX")
 NAIVE_FORMATS = (
-    "EEE, d MMM yyyy HH:mm:ss",
     "d MMM yyyy HH:mm:ss",
-    "EEE MMM d HH:mm:ss yyyy",
+    "d MMM yyyy HH:mm",
+    "MMM d HH:mm:ss yyyy",
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd",
 )
+DATE_NOISE = r"(?i)\([^)]*\)|^\s*(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
+ZONE_NAME = r"(?<=[0-9]) [A-Za-z]{2,5}$"
 
 
 def clean(text: Column, rules: tuple[str, ...]) -> Column:
@@ -84,11 +79,13 @@ def split_addresses(text: Column) -> Column:
 
 
 def to_utc(text: Column, default: str | None = None) -> Column:
-    """Date header to a UTC timestamp; no zone means UTC, no match means `default` or null.
+    """Date header to a UTC timestamp; no match means `default` or null.
 
-    Needs a session whose time zone is UTC.
+    Dates without an offset count as UTC, as do those that only name their zone. Needs a session
+    whose time zone is UTC.
     """
-    tidy = F.trim(F.regexp_replace(F.regexp_replace(text, r"\([^)]*\)", ""), r"\s+", " "))
+    tidy = F.trim(F.regexp_replace(F.regexp_replace(text, DATE_NOISE, ""), r"\s+", " "))
+    tidy = F.regexp_replace(tidy, ZONE_NAME, "")
     tries = [F.try_to_timestamp(tidy, F.lit(fmt)) for fmt in ZONED_FORMATS + NAIVE_FORMATS]
     if default is not None:
         tries.append(F.to_timestamp(F.lit(default)))

@@ -1,4 +1,4 @@
 """Imports every family so that its queries register."""
 
-from . import addresses, patterns, text  # noqa: F401
+from . import addresses, files, messages, patterns, places, search, text  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -118,15 +118,15 @@ def document_topics(spark, sf_dir):
 
 
 @query(
-    """SELECT 'd' || doc_id AS id, round(embedding[1], 5) AS idx_0, round(embedding[2], 5) AS idx_1,
-      round(embedding[10], 5) AS idx_9
+    """SELECT 'd' || doc_id AS id, round(CAST(embedding[1] AS DOUBLE), 5) AS idx_0, round(CAST(embedding[2] AS DOUBLE), 5) AS idx_1,
+      round(CAST(embedding[10] AS DOUBLE), 5) AS idx_9
     FROM documents LEFT JOIN embeddings ON vec_id = doc_id"""
 )
 def topic_merge(spark, sf_dir):
     """The merge alone, with embedding components standing in for topic scores."""
     scores = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
         F.concat(F.lit("d"), F.col("vec_id").cast("string")).alias("id"),
-        F.transform(F.slice("embedding", 1, 10), lambda v: F.round(v, 5).cast("double")).alias("scores"),
+        F.transform(F.slice("embedding", 1, 10), lambda v: F.round(v.cast("double"), 5)).alias("scores"),
     )
     rows = P.merge_topics(_bodies(spark, sf_dir).select("id"), scores)
     return rows.select("id", *[F.col("topic_scores")[f"idx_{i}"].alias(f"idx_{i}") for i in (0, 1, 9)])
