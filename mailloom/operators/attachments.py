@@ -212,23 +212,31 @@ def to_attachments(emails: DataFrame) -> DataFrame:
 # ---- image positions --------------------------------------------------------------------------
 
 
+def _with(value: Column, use) -> Column:
+    """`use(value)` with the value computed once however often it is mentioned."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _ratio(text: Column) -> Column:
-    parts = F.split(F.trim(text), "/")
-    top = F.get(parts, F.lit(0)).try_cast("double")
-    bottom = F.get(parts, F.lit(1)).try_cast("double")
-    return F.when(F.size(parts) == 1, top).otherwise(F.try_divide(top, bottom))
+    def divide(parts: Column) -> Column:
+        return F.when(F.size(parts) == 1, F.get(parts, F.lit(0))).otherwise(
+            F.try_divide(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))
+        )
+
+    return _with(F.transform(F.split(F.trim(text), "/"), lambda n: n.try_cast("double")), divide)
 
 
 def degrees(dms: Column) -> Column:
     """'d,m,s' with optional fractions a/b to degrees."""
-    parts = F.split(dms, ",")
-    d, m, s = (_ratio(F.get(parts, F.lit(i))) for i in range(3))
-    return d + m / 60 + s / 3600
+    return _with(
+        F.transform(F.split(dms, ","), _ratio),
+        lambda v: F.get(v, F.lit(0)) + F.get(v, F.lit(1)) / 60 + F.get(v, F.lit(2)) / 3600,
+    )
 
 
 def validate_coord(value: Column, limit: float) -> Column:
     """Out-of-range coordinates become 0."""
-    return F.when(F.abs(value) > limit, F.lit(0.0)).otherwise(value)
+    return _with(value, lambda v: F.when(F.abs(v) > limit, F.lit(0.0)).otherwise(v))
 
 
 def gps_from_tags(images: DataFrame) -> DataFrame:
@@ -239,13 +247,18 @@ def gps_from_tags(images: DataFrame) -> DataFrame:
     """
 
     def signed(dms: str, ref: str, positive: str) -> Column:
-        value = degrees(F.col(dms))
-        return F.when(F.col(ref) == positive, value).otherwise(-value)
+        return degrees(F.col(dms)) * F.when(F.col(ref) == positive, F.lit(1.0)).otherwise(F.lit(-1.0))
 
-    lat = validate_coord(signed("lat_dms", "latref", "N"), 90.0)
-    lon = validate_coord(signed("lon_dms", "lonref", "E"), 180.0)
-    gps = F.struct(
-        "latref", "lonref", "altref", "alt", F.struct(lat.alias("lat"), lon.alias("lon")).alias("coord")
-    )
     jpeg = bare_extension(F.col("extension")).isin("jpg", "jpeg")
-    return images.withColumn("gps", F.when(jpeg & lat.isNotNull() & lon.isNotNull(), gps))
+    coord = F.struct(F.col("_lat").alias("lat"), F.col("_lon").alias("lon"))
+    gps = F.struct("latref", "lonref", "altref", "alt", coord.alias("coord"))
+    return (
+        images.withColumns(
+            {
+                "_lat": validate_coord(signed("lat_dms", "latref", "N"), 90.0),
+                "_lon": validate_coord(signed("lon_dms", "lonref", "E"), 180.0),
+            }
+        )
+        .withColumn("gps", F.when(jpeg & F.col("_lat").isNotNull() & F.col("_lon").isNotNull(), gps))
+        .drop("_lat", "_lon")
+    )

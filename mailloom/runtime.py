@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage by writing the rows to the checkpoint folder and reading them back.
+
+    A written table survives lost executors like `checkpoint()`, and unlike it the next plan sees
+    the real size: a checkpointed frame keeps the estimate of the plan it came from, which after
+    some rounds of joins is too large to be of use.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/mailloom/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
