@@ -60,7 +60,9 @@ def path_categories(path: Column) -> Column:
 
 def addresses_of(lines: Column) -> Column:
     """Addresses of decoded header lines: an @-word of the address part, else of the name."""
-    pieces = F.flatten(F.transform(lines, lambda s: F.split(s, r",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)")))
+    # commas inside quotes do not separate
+    entry = F.lit(r'(?:[^",]|"[^"]*+"?)++')
+    pieces = F.flatten(F.transform(lines, lambda s: F.regexp_extract_all(s, entry, F.lit(0))))
 
     def pick(piece: Column) -> Column:
         bracketed = F.regexp_extract(piece, r"<([^<>]*)>", 1)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PIECE_CHARS = 8192
+PIECE_CHARS = 4096
 CONTEXT_CHARS = 50
 
 _HITS = "array<struct<s:int,e:int,value:string>>"
@@ -89,15 +89,30 @@ def find_all(
         F.regexp_extract_all(text, F.lit(cut_at), F.lit(0)), F.array().cast(_PIECES), add
     )
     whole = F.array(F.struct(F.lit(0).alias("base"), text.alias("text"))).cast(_PIECES)
-    pieces = F.when(F.length(text) <= PIECE_CHARS, whole).otherwise(cut)
+    cut_pieces = F.when(F.length(text) <= PIECE_CHARS, whole).otherwise(cut)
 
-    def widen(piece: Column) -> Column:
+    def margin(near: Column, side, start: Column, size: Column) -> Column:
+        # the neighbouring piece nearly always holds the whole margin
+        enough = (F.length(near.text) >= context) | (near.base == 0)
+        return F.when(enough, side(near.text, F.lit(context))).otherwise(F.substr(text, start, size))
+
+    def widen_in(pieces: Column) -> Callable[[Column, Column], Column]:
+        return lambda piece, i: widen(pieces, piece, i)
+
+    def widen(pieces: Column, piece: Column, i: Column) -> Column:
         left = F.least(F.lit(context), piece.base)
+        end = piece.base + F.length(piece.text)
+        before = margin(F.get(pieces, i - 1), F.right, piece.base - left + 1, left)
+        after = margin(F.get(pieces, i + 1), F.left, end + 1, F.lit(context))
         return F.struct(
             piece.base.alias("base"),
             left.alias("left"),
-            F.substr(text, piece.base - left + 1, left + F.length(piece.text) + context).alias("wide"),
-            hits_in(piece.text).alias("hits"),
+            F.when(F.size(piece.hits) > 0, F.concat(
+                F.when(piece.base > 0, before).otherwise(F.lit("")),
+                piece.text,
+                F.when(end < F.length(text), after).otherwise(F.lit("")),
+            )).alias("wide"),
+            piece.hits.alias("hits"),
         )
 
     def place(piece: Column) -> Column:
@@ -114,8 +129,16 @@ def find_all(
 
         return F.transform(piece.hits, one)
 
-    found = F.filter(F.transform(pieces, widen), lambda piece: F.size(piece.hits) > 0)
-    return F.flatten(F.transform(found, place))
+    def matched(piece: Column) -> Column:
+        return F.struct(
+            piece.base.alias("base"), piece.text.alias("text"), hits_in(piece.text).alias("hits")
+        )
+
+    def placed(pieces: Column) -> Column:
+        found = F.filter(F.transform(pieces, widen_in(pieces)), lambda piece: F.size(piece.hits) > 0)
+        return F.flatten(F.transform(found, place))
+
+    return F.get(F.transform(F.array(F.transform(cut_pieces, matched)), placed), F.lit(0))
 
 
 def excerpt(hit: Column) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from mailloom.functions.matching import find_all, regex_hits
 
-# fixed values: the amount pattern, the words looked for and how far around the amount
-AMOUNT_PATTERN = r"(?:0|[1-9]\d{0,3}(?:,?\d{3})*)(?:\.\d+)?"
+# fixed values: the amount pattern, the words looked for and how far around the amount. The
+# possessive repeat matches the same and keeps the JVM from recursing on long runs of digits.
+AMOUNT_PATTERN = r"(?:0|[1-9]\d{0,3}(?:,?\d{3})*+)(?:\.\d+)?"
 AMOUNT_CHARS = "0-9,."
 CURRENCY_WORDS = ("$", "usd", "us$")
 CURRENCY_CHARS = 6

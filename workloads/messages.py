@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mailloom import schemas
 from mailloom.functions import cleaning as C
-from mailloom.operators.normalize import ascii_variant
+from mailloom.operators.normalize import ascii_variant, normalize
 from mailloom.sources import records as R
 
-from .fixtures import MAIL, at, docs, mail, table
+from .fixtures import DOCS, MAIL, at, docs, mail, table
 from .registry import query
 
 
@@ -227,3 +226,77 @@ def manifest_stamp(spark, sf_dir):
     )
     rows = R.stamp_from_manifest(raw, manifest)
     return rows.select("id", "filename", "ingest_id", "case_id", "language", F.col("original_artifact.type").alias("type"))
+
+
+# ---- MIME messages ----------------------------------------------------------------------------
+
+
+def raw_messages(spark, sf_dir):
+    """A multipart message per document: encoded text, an HTML part, and on some a named file."""
+    d = docs(spark, sf_dir)
+    n = F.col("doc_id").cast("string")
+
+    def encoded(text):
+        return F.base64(F.encode(text, "UTF-8"))
+
+    parts = [
+        F.concat(F.lit('From: "Buyer, '), n, F.lit('" <Buyer.'), n, F.lit("@X.Example>")),
+        F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit('To: a@x.example, "O\'B" <o\'b@Y.example>'))),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("To: Undisclosed-Recipient:;")),
+        F.concat(F.lit("Delivered-To: box"), n, F.lit("@d.example")),
+        F.concat(F.lit("Date: Thu, 17 Jun 2010 12:00:00 +0"), (F.col("doc_id") % 10).cast("string"), F.lit("00")),
+        F.concat(F.lit("Subject: =?utf-8?B?"), encoded(F.col("subject")), F.lit("?=")),
+        F.concat(F.lit("Message-ID: <"), n, F.lit("\t@x>")),
+        F.lit('MIME-Version: 1.0\nContent-Type: multipart/mixed; boundary="cut"\n\n--cut'),
+        F.lit("Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64\n"),
+        F.concat(encoded(F.col("body")), F.lit("\n--cut")),
+        F.lit("Content-Type: text/html; charset=iso-8859-1\n\n<p>hi</p>\n--cut"),
+        F.when(
+            F.col("doc_id") % 2 == 0,
+            F.concat(
+                F.lit('Content-Type: text/csv\nContent-Disposition: attachment; filename="List '),
+                n,
+                F.lit('.CSV"\nContent-Transfer-Encoding: base64\n\n'),
+                encoded(F.col("subject")),
+                F.lit("\n--cut"),
+            ),
+        ),
+        F.lit("Content-Type: application/pdf\nContent-Disposition: inline\n\nxyz\n--cut--\n"),
+    ]
+    return d.select("id", F.encode(F.concat_ws("\n", *parts), "UTF-8").alias("data"))
+
+
+@query(
+    f"""WITH {DOCS} SELECT id, strftime(TIMESTAMP '2010-06-17 12:00:00' - INTERVAL (doc_id % 10) HOUR, '%Y-%m-%d %H:%M:%S') AS sent_at,
+      'buyer.' || doc_id || '@x.example' AS senders,
+      CASE WHEN doc_id % 3 = 0 THEN 'box' || doc_id || '@d.example' ELSE 'a@x.example,ob@y.example' END AS tos,
+      '<' || doc_id || ' @x>' AS message_id, subject,
+      md5(body || chr(10) || '=============================Next Part==============================' || chr(10) || '<p>hi</p>') AS body,
+      FALSE AS body_as_html, CAST(2 - doc_id % 2 AS INTEGER) AS n_attachments
+    FROM docs"""
+)
+def message_rows(spark, sf_dir):
+    emails, _ = normalize(raw_messages(spark, sf_dir), keep_unnamed=True)
+    return emails.select(
+        "id",
+        at("datetime").alias("sent_at"),
+        F.array_join("senders", ",").alias("senders"),
+        F.array_join("tos", ",").alias("tos"),
+        F.array_join("messageid", ",").alias("message_id"),
+        "subject",
+        F.md5("body").alias("body"),
+        "body_as_html",
+        F.size("attachments").alias("n_attachments"),
+    )
+
+
+@query(
+    f"""WITH {DOCS} SELECT id, 'List ' || doc_id || '.CSV' AS filename, '.csv' AS extension, 'text/csv' AS content_type,
+      CAST(octet_length(encode(subject)) AS BIGINT) AS filesize, md5(subject) AS data FROM docs WHERE doc_id % 2 = 0"""
+)
+def message_attachments(spark, sf_dir):
+    emails, _ = normalize(raw_messages(spark, sf_dir), keep_unnamed=False)
+    rows = emails.select("id", F.explode("attachments").alias("a"))
+    return rows.select(
+        "id", "a.filename", "a.extension", "a.content_type", "a.filesize", F.md5(F.unbase64("a.contents64")).alias("data")
+    )

@@ -59,6 +59,9 @@ PHONES_SQL = f"""{hits_sql('docs', 'body', numbers.PHONE_PATTERN)},
     WHERE length(normalized) >= 7 AND (coalesce(length(normalized) BETWEEN p.min_len AND p.max_len, FALSE)
       OR regexp_matches(lower(right(before, 15)), '{"|".join(numbers.PHONE_WORDS)}')))"""
 
+# the same amounts, in a dialect without possessive repeats
+AMOUNT_SQL = amounts.AMOUNT_PATTERN.replace("*+", "*")
+
 CARD_SQL = r"(?:[0-9]{4}[^\p{L}\p{M}\p{N}\p{Pc}]*){4}"
 
 
@@ -158,7 +161,7 @@ def phones_on_email(spark, sf_dir):
     return rows.select("id", F.array_join("phone_numbers", ",").alias("phone_numbers"))
 
 
-AMOUNTS_SQL = f"""{hits_sql('money', 'txt', amounts.AMOUNT_PATTERN, 25)},
+AMOUNTS_SQL = f"""{hits_sql('money', 'txt', AMOUNT_SQL, 25)},
   windows AS (SELECT id, value, s,
       CASE WHEN least(e + 6, length(txt) - 1) > greatest(s - 6, 0)
         THEN substr(txt, greatest(s - 6, 0) + 1, least(e + 6, length(txt) - 1) - greatest(s - 6, 0)) ELSE '' END AS near,
@@ -212,7 +215,7 @@ def currency_rows(spark, sf_dir):
 
 
 @query(
-    f"""WITH {DOCS}, {hits_sql('docs', 'body', amounts.AMOUNT_PATTERN)}
+    f"""WITH {DOCS}, {hits_sql('docs', 'body', AMOUNT_SQL)}
     SELECT docs.id, round(coalesce(sum(CAST(replace(value, ',', '') AS DOUBLE)), 0), 2) AS total
     FROM docs LEFT JOIN hits USING (id) GROUP BY docs.id"""
 )
