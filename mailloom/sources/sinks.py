@@ -71,8 +71,10 @@ def _rows(df: DataFrame, table: str, version: Column | None = None) -> DataFrame
     key = INDEX_KEYS.get(table)
     if key is None:
         return rows
-    # without a version any one of several rows with the same id stays
-    return latest_by_id(rows, key, F.monotonically_increasing_id() if version is None else version)
+    if version is None:
+        # any one of several rows with the same id stays
+        return rows.dropDuplicates([key])
+    return latest_by_id(rows, key, version)
 
 
 def _write(rows: DataFrame, path: str, mode: str) -> None:
