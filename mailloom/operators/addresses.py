@@ -132,9 +132,9 @@ def address_history(emails: DataFrame, part_rows: int = HISTORY_PART_ROWS) -> Da
         entries.join(busy, "addr", "left")
         .groupBy("addr", part.alias("part"))
         .agg(
-            F.array_sort(F.collect_list("sent")).alias("sender"),
-            F.array_sort(F.collect_list("received")).alias("recepient"),
-            F.array_sort(F.collect_list("attachment")).alias("sender_attachments"),
+            F.sort_array(F.collect_list("sent")).alias("sender"),
+            F.sort_array(F.collect_list("received")).alias("recepient"),
+            F.sort_array(F.collect_list("attachment")).alias("sender_attachments"),
         )
     )
 
@@ -208,7 +208,7 @@ def email_communities(people: DataFrame, communities: DataFrame) -> DataFrame:
         .join(communities.select("addr", "community_id", "community"), "addr")
         .groupBy(F.col("email_id").alias("id"))
         .agg(
-            F.array_sort(F.collect_set(F.struct("community_id", "community"))).alias("communities")
+            F.sort_array(F.collect_set(F.struct("community_id", "community"))).alias("communities")
         )
         .withColumn("communities_count", F.size("communities").cast("bigint"))
     )

@@ -126,7 +126,7 @@ def set_content_language(sidecar: DataFrame, languages: DataFrame) -> DataFrame:
         .agg(by_place.alias("m"))
         .select(
             "id",
-            F.transform(F.array_sort(F.map_keys("m")), lambda i: F.try_element_at("m", i)).alias("attachments"),
+            F.transform(F.sort_array(F.map_keys("m")), lambda i: F.try_element_at("m", i)).alias("attachments"),
         )
     )
 

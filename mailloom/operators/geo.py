@@ -51,7 +51,7 @@ def email_locations(emails: DataFrame, nets: DataFrame) -> DataFrame:
     return (
         locate(ips.where(F.col("ip").isNotNull()), nets)
         .groupBy("id")
-        .agg(F.array_sort(F.collect_list(found)).alias("found"))
+        .agg(F.sort_array(F.collect_list(found)).alias("found"))
         .select(
             "id",
             F.transform(

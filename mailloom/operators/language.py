@@ -77,7 +77,7 @@ def score_languages(docs: DataFrame, profile: LanguageProfile) -> DataFrame:
         for name, floor in profile.floors.items()
     ]
     ranked = F.transform(
-        F.array_sort(F.array(*scored)), lambda s: F.struct((-s.cost).alias("score"), s.lang.alias("lang"))
+        F.sort_array(F.array(*scored)), lambda s: F.struct((-s.cost).alias("score"), s.lang.alias("lang"))
     )
     return sums.select("id", "n_grams", ranked.alias("scores"))
 
@@ -126,7 +126,7 @@ def lexicon_translate(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
         .join(lexicon.select("lang", "word", "translation"), ["lang", "word"], "left")
         .groupBy("id")
         .agg(
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.struct("pos", F.coalesce("translation", "token").alias("token")))
             ).alias("t")
         )
@@ -200,7 +200,10 @@ def tokenize_punctuation(text: Column, abbreviations: Sequence[str] = ABBREVIATI
         return F.concat(parts, _chars(tail))
 
     tokens = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
-    return F.flatten(F.transform(tokens, peel))
+    edged = r"\A\p{P}|\p{P}\z"
+    return F.flatten(
+        F.transform(tokens, lambda w: F.when(w.rlike(edged), peel(w)).otherwise(F.array(w)))
+    )
 
 
 def _chars(text: Column) -> Column:

@@ -50,7 +50,7 @@ def topic_map(described: DataFrame) -> DataFrame:
     entry = F.struct("position", "idx", "term", "score")
     return described.groupBy(F.col("topic").alias("idx")).agg(
         F.transform(
-            F.array_sort(F.collect_list(entry)),
+            F.sort_array(F.collect_list(entry)),
             lambda e: F.struct(e.idx.alias("idx"), e.term.alias("term"), e.score.alias("score")),
         ).alias("topic")
     )

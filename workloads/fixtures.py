@@ -54,16 +54,24 @@ def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber AS line",
         "cast(l_quantity AS bigint) AS quantity",
         "CASE l_returnflag WHEN 'A' THEN '.jpg' WHEN 'N' THEN '.pdf' ELSE '.xls' END AS ext",
+        # columns of their own, so that reading several fields of a file computes them once
     ).selectExpr(
         "*",
-        """filter(array(
-             named_struct('guid', md5(concat(id, '/0')), 'extension', ext,
-                          'filename', concat('file', line, ext), 'filesize', quantity * 1000,
+        "md5(concat(id, '/0')) AS guid0",
+        "md5(concat(id, '/1')) AS guid1",
+        "concat('file', line, ext) AS name0",
+    ).selectExpr(
+        "id", "datetime", "senders", "tos", "ccs", "bccs", "order_key", "line", "quantity", "ext",
+        """CASE WHEN line % 2 = 1 AND quantity > 40 THEN array(
+             named_struct('guid', guid0, 'extension', ext, 'filename', name0, 'filesize', quantity * 1000,
                           'content', concat('text of ', id)),
-             CASE WHEN quantity > 40 THEN
-             named_struct('guid', md5(concat(id, '/1')), 'extension', '.txt', 'filename', 'notes.txt',
-                          'filesize', quantity, 'content', concat('notes of ', id)) END),
-           a -> a IS NOT NULL AND line % 2 = 1) AS attachments""",
+             named_struct('guid', guid1, 'extension', '.txt', 'filename', 'notes.txt', 'filesize', quantity,
+                          'content', concat('notes of ', id)))
+           WHEN line % 2 = 1 THEN array(
+             named_struct('guid', guid0, 'extension', ext, 'filename', name0, 'filesize', quantity * 1000,
+                          'content', concat('text of ', id)))
+           ELSE cast(array() AS array<struct<guid:string,extension:string,filename:string,filesize:bigint,content:string>>)
+           END AS attachments""",
     )
 
 

@@ -60,7 +60,7 @@ def all_addresses(spark, sf_dir):
     emails = mail(spark, sf_dir).withColumns(
         {"delivered_to": none, "starred": F.when(F.col("quantity") > 25, F.col("quantity") % 2 == 0)}
     )
-    joined = F.array_join(F.array_sort(X.all_addresses()), ",")
+    joined = F.array_join(F.sort_array(X.all_addresses()), ",")
     return emails.select(
         "id", C.null_default(F.col("starred")).alias("starred"),
         F.when(F.size(X.all_addresses()) > 0, joined).alias("addrs"),

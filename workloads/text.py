@@ -11,6 +11,7 @@ from mailloom.operators import spam as S
 from mailloom.operators import terms as T
 from mailloom.operators import topics as P
 from mailloom.functions.cleaning import entity_text, spam_text
+from mailloom.runtime import checkpointed
 
 from .fixtures import DOCS, docs, table
 from .registry import query
@@ -34,7 +35,8 @@ def _bodies(spark, sf_dir):
 
 
 def _vocab(spark, sf_dir):
-    return T.vocabulary(_bodies(spark, sf_dir))
+    """The vocabulary as the table it is between jobs."""
+    return checkpointed(T.vocabulary(_bodies(spark, sf_dir)))
 
 
 @query(f"WITH {DOCS}, {TERMS} SELECT id, term, count(*) AS n FROM terms GROUP BY id, term")
@@ -57,7 +59,7 @@ def word_tokens(spark, sf_dir):
 
 @query(f"{BASE} SELECT idx, term, n FROM vocab")
 def vocabulary(spark, sf_dir):
-    return _vocab(spark, sf_dir)
+    return T.vocabulary(_bodies(spark, sf_dir))
 
 
 @query(f"{BASE} SELECT id, idx, count(*) AS n FROM terms JOIN vocab USING (term) GROUP BY id, idx")
@@ -190,7 +192,7 @@ def _lexicon(spark, sf_dir):
     languages = texts.select("id", "lang")
     rows = T.term_rows(texts.where(F.col("lang") != "en").select("id", "body")).join(languages, "id")
     common = rows.groupBy("lang", F.col("term").alias("word")).count().where(F.col("count") >= 3)
-    return common.select("lang", "word", F.reverse("word").alias("translation"))
+    return checkpointed(common.select("lang", "word", F.reverse("word").alias("translation")))
 
 
 _TOKENS_SQL = """(SELECT id, lang, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS pos
