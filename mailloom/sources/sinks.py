@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailloom import schemas
-from mailloom.operators.index import latest_by_id, to_schema
+from mailloom.operators.index import attachments_by_email, emails_by_id, latest_by_id, to_schema
 from mailloom.runtime import checkpointed
 
 # fixed value: output files roll over at this size unless asked otherwise
@@ -118,6 +118,25 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path)
 
 
+def export_edges(edges: DataFrame, folder: str) -> None:
+    """Edge rows (from, to) as JSON lines, and from those as CSV."""
+    edges.write.json(f"{folder}/json")
+    spark = edges.sparkSession
+    export_csv(spark.read.schema(edges.schema).json(f"{folder}/json"), f"{folder}/csv")
+
+
+def export_attachments(found: DataFrame, folder: str) -> None:
+    """Attachment hits (addr, guid, filename, datetime, extension, contents64): a CSV and the files."""
+    export_csv(found.select("addr", "guid", "filename", "datetime"), f"{folder}/attachments")
+    dump_attachments(found.dropDuplicates(["guid"]), f"{folder}/files")
+
+
+def export_emails(emails: DataFrame, attachments: DataFrame, ids: DataFrame, folder: str) -> None:
+    """The chosen mails as JSON lines, and the files attached to them."""
+    emails_by_id(emails, ids).write.json(f"{folder}/emails")
+    dump_attachments(attachments_by_email(attachments, ids), f"{folder}/files")
+
+
 def dump_attachments(attachments: DataFrame, folder: str) -> None:
     """Write every decoded attachment to <folder>/<guid><extension>, on any shared file system."""
     rows = attachments.select("guid", "extension", F.unbase64("contents64").alias("data"))

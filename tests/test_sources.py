@@ -198,3 +198,24 @@ def test_json_mail_round_trip(spark, folder):
     row = records.read_emails(spark, str(folder / "mail.json")).first()
     assert str(row.datetime) == "2010-06-17 12:33:51" and row.attachments[0].filesize == 3
     assert row.asDict().keys() == {f.name for f in schemas.EMAIL.fields}
+
+
+def test_exports(spark, folder):
+    data = base64.b64encode(b"one").decode()
+    hits = spark.createDataFrame(
+        [("a", "g1", "n.txt", "2001-01-01", ".txt", data), ("b", "g1", "n.txt", "2001-01-01", ".txt", data)],
+        "addr string, guid string, filename string, datetime string, extension string, contents64 string",
+    )
+    sinks.export_attachments(hits, str(folder / "hits"))
+    assert spark.read.csv(str(folder / "hits" / "attachments")).count() == 2
+    assert (folder / "hits" / "files" / "g1.txt").read_bytes() == b"one"
+
+    emails = spark.createDataFrame([("1", "x"), ("2", "y")], "id string, subject string")
+    files = hits.limit(1).withColumn("id", F.lit("1"))
+    sinks.export_emails(emails, files, spark.createDataFrame([("1",), ("7",)], "id string"), str(folder / "mail"))
+    assert [r.subject for r in spark.read.json(str(folder / "mail" / "emails")).collect()] == ["x"]
+    assert (folder / "mail" / "files" / "g1.txt").exists()
+
+    edges = spark.createDataFrame([("a", "b"), ("a", "b")], "from string, to string")
+    sinks.export_edges(edges, str(folder / "edges"))
+    assert [tuple(r) for r in spark.read.csv(str(folder / "edges" / "csv")).collect()] == [("a", "b")] * 2
