@@ -128,9 +128,13 @@ def address_history(emails: DataFrame, part_rows: int = HISTORY_PART_ROWS) -> Da
         .select("addr", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))
     )
     part = F.coalesce(F.pmod(F.xxhash64("email_id"), F.col("parts")).cast("int"), F.lit(0))
+    # without the repartition Spark would keep the join's partitioning by address, and one task
+    # would build all parts of a busy one
     return (
         entries.join(busy, "addr", "left")
-        .groupBy("addr", part.alias("part"))
+        .withColumn("part", part)
+        .repartition("addr", "part")
+        .groupBy("addr", "part")
         .agg(
             F.sort_array(F.collect_list("sent")).alias("sender"),
             F.sort_array(F.collect_list("received")).alias("recepient"),
@@ -157,7 +161,8 @@ def dense_index(values: DataFrame, column: str, start: int = 0) -> DataFrame:
     """
     digest = F.md5(F.col(column).cast("string"))
     rows = values.select(column).distinct().withColumn("_digest", digest)
-    rows = rows.withColumn("_bucket", F.substring("_digest", 1, 3))
+    # the filter stands on both uses of the rows, so that they share one shuffle
+    rows = rows.withColumn("_bucket", F.substring("_digest", 1, 3)).where(F.col("_bucket").isNotNull())
     sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = W.Window.orderBy("_bucket").rowsBetween(W.Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -114,3 +114,14 @@ def test_whole_chain(spark):
     assert tables.topics.count() == 3
     addresses = to_schema(tables.addresses, "addresses")
     assert addresses.where("community IS NOT NULL AND ingest_id = 'ingest' AND domain <> ''").count() == addresses.count() > 200
+
+
+def test_parts_of_a_busy_address_are_spread_over_tasks(spark):
+    text = plan(A.address_history(fixtures.mail(spark, SF_DIR)))
+    assert "hashpartitioning(addr" in text and "part#" in text.split("REPARTITION_BY_COL")[0].split("Exchange")[-1]
+
+
+def test_both_uses_of_the_node_table_share_their_shuffle(spark):
+    nodes = A.node_index(A.weighted_edges(fixtures.mail(spark, SF_DIR)))
+    nodes.collect()
+    assert "ReusedExchange" in nodes._jdf.queryExecution().executedPlan().toString()
