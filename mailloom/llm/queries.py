@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.llm import language_id, pieces, vocabulary
+from mailloom.llm import language_id, pieces, spans, topk, urls, vocabulary
 from mailloom.llm.shared import table
 
 QUERIES = {}
@@ -45,3 +45,95 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("encoded.ids", ","), 256).alias("ids_sha256"),
         F.sha2(F.col("encoded.decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, how many lie in passages found elsewhere, and the digest of the rest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = spans.remove_repeats(docs)
+    return found.select(
+        "doc_id", "cleaned.n_words", "cleaned.n_removed", F.sha2(F.col("cleaned.kept"), 256).alias("kept_sha256")
+    )
+
+
+ORACLES["op8_substring_dedup"] = r"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents),
+windows AS MATERIALIZED (
+    SELECT r, s, md5(array_to_string(words[s : s + 34], ' ')) AS h
+    FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS s FROM docs)),
+repeated AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (
+    SELECT DISTINCT r, unnest(range(s, s + 35)) AS i FROM windows JOIN repeated USING (h)),
+word_rows AS (SELECT r, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS i FROM docs),
+kept AS (
+    SELECT r, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS kept
+    FROM word_rows ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(list(URL_RULES), urls.RULES)
+    return urls.judge(pages, rules).select("page_id", "judged.*")
+
+
+ORACLES["op9_url_filter"] = r"""
+WITH rules(r_host, r_path, verdict) AS (VALUES
+    ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+parts AS (
+    SELECT row_number() OVER () AS r, page_id,
+           CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+seen AS (
+    SELECT r, page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts),
+fits AS (
+    SELECT r, r_host || r_path AS rule, verdict,
+           row_number() OVER (PARTITION BY r ORDER BY length(r_host || r_path) DESC) AS place
+    FROM seen JOIN rules
+      ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM seen LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (r)
+"""
+
+
+@query
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every vector whose id is divisible by 50, over all others."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op10_top_k"] = """
+WITH v AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
