@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.llm import language_id, pieces, spans, topk, urls, vocabulary
+from mailloom.llm import language_id, minhash, pieces, spans, topk, urls, vocabulary
 from mailloom.llm.shared import table
 
 QUERIES = {}
@@ -47,6 +47,38 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and near-duplicate component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.mark_duplicates(docs)
+
+
+ORACLES["op4_minhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 2], ' ')) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+    SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * met.n >= 85 * (x.n + y.n - met.n)),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id, a = min(b) AS kept
+FROM reach LEFT JOIN sizes ON doc_id = a GROUP BY a
+"""
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many lie in passages found elsewhere, and the digest of the rest."""
