@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.llm import language_id, minhash, pieces, spans, topk, urls, vocabulary
+from mailloom.llm import decontamination, language_id, minhash, pieces, spans, topk, urls, vocabulary
 from mailloom.llm.shared import table
 
 QUERIES = {}
@@ -34,6 +34,50 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "language.lang_pred", "language.score")
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, the items, and whether it is contaminated."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "overlap.n_words",
+        "overlap.n_hit",
+        F.size("overlap.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("overlap.items", ","), 256).alias("items_sha256"),
+        "overlap.contaminated",
+    )
+
+
+ORACLES["op2_decontamination"] = r"""
+WITH low AS (
+    SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+    UNION ALL
+    SELECT 'i', row_number() OVER (), item_id,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+words AS MATERIALIZED (
+    SELECT kind, r, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+item_windows AS MATERIALIZED (
+    SELECT DISTINCT id AS item, n, array_to_string(w[s : s + n - 1], ' ') AS x
+    FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+          FROM (SELECT *, least(len(w), 13) AS n FROM words WHERE kind = 'i' AND len(w) > 0))),
+lengths AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+    SELECT r, n, s, array_to_string(w[s : s + n - 1], ' ') AS x
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM words, lengths WHERE kind = 'd' AND len(w) >= n)),
+met AS MATERIALIZED (SELECT r, item, s, n FROM doc_windows JOIN item_windows USING (n, x)),
+hit AS (SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS i FROM met) GROUP BY r),
+items AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+    FROM (SELECT DISTINCT r, item::VARCHAR AS item FROM met) GROUP BY r)
+SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit USING (r) LEFT JOIN items USING (r) WHERE kind = 'd'
+"""
+
+
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of every document, and the digest of the decoded text."""
