@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.llm import decontamination, language_id, minhash, pieces, spans, topk, urls, vocabulary
+from mailloom.llm import decontamination, language_id, lines, minhash, pieces, secrets, spans, topk, urls, vocabulary
 from mailloom.llm.shared import table
 
 QUERIES = {}
@@ -123,6 +123,78 @@ FROM reach LEFT JOIN sizes ON doc_id = a GROUP BY a
 """
 
 
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base kinds, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.find(docs)
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(listed(F.filter("secrets", lambda s: s.kind != "generic")), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
+def _spans_sql(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    value = f"regexp_extract(m[i], '{pattern}', {group})"
+    return f"""
+    SELECT r, {rank} AS rank, '{kind}' AS kind, start, start + length(m[i]) AS stop, {value} AS value FROM (
+        SELECT r, m, i, list_sum(list_transform(p[1 : i], lambda x: length(x)))
+                        + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) AS start
+        FROM (SELECT r, m, p, unnest(range(1, len(m) + 1)) AS i
+              FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS p
+                    FROM texts WHERE regexp_matches(t, '{pattern}'))))
+    WHERE length({value}) >= {least}"""
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN_SQL = (
+    "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + ")"
+    "[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+
+ORACLES["op5_secrets"] = f"""
+WITH texts AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+base AS MATERIALIZED ({" UNION ALL ".join((
+    _spans_sql(0, "assign", _ASSIGN_SQL, 2, 6),
+    _spans_sql(1, "access", "AKIA[A-Z0-9]+", 0, 20),
+    _spans_sql(2, "hex", "[0-9a-f]+", 0, 24)))}),
+generic AS MATERIALIZED (
+    SELECT g.* FROM ({_spans_sql(3, "generic", "[A-Za-z0-9_+/=-]{20,}", 0, 20)}) g
+    WHERE regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')
+      AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = g.r AND b.start < g.stop AND g.start < b.stop)),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM generic),
+owners AS (SELECT value, count(DISTINCT coalesce(source, '')) AS n FROM every JOIN texts USING (r) GROUP BY value),
+kept AS (SELECT every.* FROM every JOIN owners USING (value) WHERE rank < 3 OR n <= 2)
+SELECT doc_id,
+       count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, rank) FILTER (rank < 3), '')) AS base_sha256,
+       coalesce(string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, rank) FILTER (rank IS NOT NULL), '') AS spans
+FROM texts LEFT JOIN kept USING (r) GROUP BY r, doc_id
+"""
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines kept elsewhere, with its number of lines and of removed ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lines.dedup_lines(docs)
+    return found.select("doc_id", "deduped.n_lines", "deduped.n_removed", "deduped.text")
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document, how many lie in passages found elsewhere, and the digest of the rest."""
