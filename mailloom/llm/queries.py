@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.llm import decontamination, language_id, lines, minhash, pieces, secrets, spans, topk, urls, vocabulary
+from mailloom.llm import decontamination, language_id, lines, minhash, pieces, secrets, spans, topk, toxicity, urls, vocabulary
 from mailloom.llm.shared import table
 
 QUERIES = {}
@@ -285,3 +285,11 @@ ranked AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.grade(docs, model).select("doc_id", "toxicity.*")
