@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-# rows one nested history record may hold before an address is split into parts
-HISTORY_PART_ROWS = 50_000
 
 
 def _list(name: str) -> Column:
@@ -101,40 +99,27 @@ def address_stats(people: DataFrame) -> DataFrame:
     )
 
 
-def address_history(emails: DataFrame, part_rows: int = HISTORY_PART_ROWS) -> DataFrame:
-    """Nested history per address: sender[], recepient[], sender_attachments[].
+def address_history(emails: DataFrame) -> DataFrame:
+    """Nested history per address and month: sender[], recepient[], sender_attachments[].
 
-    An address with more than `part_rows` entries becomes several records (addr, part), each
-    about `part_rows` long, so that no list and no task grows with the busiest mailbox. All
-    entries are kept; `part` is 0 for everyone else.
+    The key is (addr, month), the same for every address, so a busy mailbox is many records of
+    months; undated mail has a null month. Mails and attachments meet in one shuffle.
     """
     mail = F.struct("email_id", "datetime")
     history = participants(emails).select(
         "addr",
-        "email_id",
+        "datetime",
         F.when(F.col("type") == "sender", mail).alias("sent"),
         F.when(F.col("type") == "recepient", mail).alias("received"),
     )
     files = sender_attachments(emails)
     columns = [c for c in files.columns if c != "addr"]
     entries = history.unionByName(
-        files.select("addr", "email_id", F.struct(*columns).alias("attachment")),
+        files.select("addr", "datetime", F.struct(*columns).alias("attachment")),
         allowMissingColumns=True,
     )
-    busy = (
-        entries.groupBy("addr")
-        .count()
-        .where(F.col("count") > part_rows)
-        .select("addr", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))
-    )
-    part = F.coalesce(F.pmod(F.xxhash64("email_id"), F.col("parts")).cast("int"), F.lit(0))
-    # without the repartition Spark would keep the join's partitioning by address, and one task
-    # would build all parts of a busy one
     return (
-        entries.join(busy, "addr", "left")
-        .withColumn("part", part)
-        .repartition("addr", "part")
-        .groupBy("addr", "part")
+        entries.groupBy("addr", F.date_trunc("month", "datetime").alias("month"))
         .agg(
             F.sort_array(F.collect_list("sent")).alias("sender"),
             F.sort_array(F.collect_list("received")).alias("recepient"),

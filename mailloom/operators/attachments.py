@@ -70,6 +70,17 @@ def extraction_status(content_type: Column, data: Column) -> Column:
     )
 
 
+def decoded(data: Column) -> Column:
+    """Text of bytes without a declared charset: byte order marks, then UTF-8, then one byte a character."""
+    mark = F.hex(F.substring(data, 1, 2))
+    utf8 = data.cast("string")
+    return (
+        F.when(mark.isin("FFFE", "FEFF"), F.decode(data, "UTF-16"))
+        .when(F.is_valid_utf8(utf8), F.regexp_replace(utf8, "^\uFEFF", ""))
+        .otherwise(F.decode(data, "ISO-8859-1"))
+    )
+
+
 def extract_text(emails: DataFrame, extensions: Sequence[str] | None = None) -> DataFrame:
     """(id, attachments): one sidecar entry per attachment that could be read.
 
@@ -92,7 +103,7 @@ def extract_text(emails: DataFrame, extensions: Sequence[str] | None = None) ->
 
     def entry(o: Column) -> Column:
         ok = o.status == "ok"
-        raw = F.make_valid_utf8(o.data.cast("string"))
+        raw = decoded(o.data)
         text = F.when(ok, F.when(o.type == "text/html", html_text(raw)).otherwise(raw))
         return F.struct(
             o.guid.alias("guid"),

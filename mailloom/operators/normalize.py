@@ -128,7 +128,7 @@ def _assemble_body(message: Message) -> tuple[str, bool]:
 def _attachments(message: Message, email_id: str, keep_unnamed: bool) -> list[dict]:
     found, unnamed = [], 0
     for part in message.walk():
-        if part.is_multipart() or part.get_content_type() == "message/delivery-status":
+        if part.get_content_maintype() == "multipart" or part.get_content_type() == "message/delivery-status":
             continue
         if part.get("Content-Disposition") is None:
             continue
@@ -141,7 +141,8 @@ def _attachments(message: Message, email_id: str, keep_unnamed: bool) -> list[di
         name = decode_words(name)
         if name == SKIPPED_NAME:
             continue
-        data = part.get_payload(decode=True) or b""
+        # an attached message is kept as the bytes of the message itself
+        data = part.get_payload(0).as_bytes() if part.is_multipart() else part.get_payload(decode=True) or b""
         found.append(
             {
                 "guid": hashlib.md5(f"{email_id}/{len(found)}".encode()).hexdigest(),

@@ -62,14 +62,3 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what} has more than {limit} rows")
     return rows
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core when the files give fewer splits than there are cores.
-
-    Tables of many files already have more splits than cores and pass through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from mailloom.functions.cleaning import path_categories
 from mailloom.sources.records import base_name
 
-# fixed values: extensions and sizes a file corpus leaves out
+# fixed values: extensions a file corpus leaves out
 SKIPPED_EXTENSIONS = ("mdb", "msg", "exe", "zip", "gz", "dat")
-MAX_FILE_BYTES = 10_000_000
 UNKNOWN_TYPE = "application/octet-stream"
 
 
@@ -35,7 +34,9 @@ def read_mbox(spark: SparkSession, root: str) -> DataFrame:
     """(id, path, data, categories) per message of every file whose name ends in mbox.
 
     The text reader splits large archives at message separators, so one archive is read by many
-    tasks. Each row starts with the rest of its separator line, which is cut off here.
+    tasks. Each row starts with the rest of its separator line, which is cut off here. An id comes from
+    the path and the bytes of the message, however the archive is split; a message that an archive
+    holds twice has one id.
     """
     rows = (
         spark.read.option("recursiveFileLookup", "true")
@@ -44,12 +45,10 @@ def read_mbox(spark: SparkSession, root: str) -> DataFrame:
         .text(root)
     )
     path = _plain(F.col("_metadata.file_path"))
-    start = F.col("_metadata.file_block_start")
-    row = F.monotonically_increasing_id()
     # bytes after the first line; the text column holds the file's bytes as they are
     data = F.expr("substring(cast(value AS binary), octet_length(substring_index(value, '\\n', 1)) + 2)")
     return rows.select(
-        F.md5(F.concat_ws("|", path, start.cast("string"), row.cast("string"))).alias("id"),
+        F.md5(F.concat_ws("|", path, F.sha2(data, 256))).alias("id"),
         path.alias("path"),
         data.alias("data"),
         _folder(_below(path, root)).alias("categories"),
@@ -64,7 +63,7 @@ def read_eml(spark: SparkSession, root: str, suffix: str = "_mime.txt") -> DataF
         .option("pathGlobFilter", "*{.eml," + suffix + "}")
         .load(root)
     )
-    if not files.inputFiles():
+    if files.select("path").isEmpty():
         raise FileNotFoundError(f"no .eml or {suffix} files under {root}")
     path = _plain(F.col("path"))
     return files.select(
@@ -84,17 +83,30 @@ def guess_type(extension: Column) -> Column:
     return F.coalesce(F.try_element_at(table, extension), F.lit(UNKNOWN_TYPE))
 
 
-def read_files(spark: SparkSession, root: str, owner: str = "unknown") -> DataFrame:
-    """Every file as a mail with one attachment: subject is its path, body is empty."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .where(F.col("length") <= MAX_FILE_BYTES)
-    )
+def _corpus(spark: SparkSession, root: str, max_bytes: int | None) -> tuple[DataFrame, Column, Column]:
+    """Files, their extension, and why a file is left out (null if it is not)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    extension = F.lower(F.regexp_extract(base_name(_plain(F.col("path"))), r"[^.]\.([^.]*)$", 1))
+    reason = F.when(extension.isin(*SKIPPED_EXTENSIONS), F.lit("extension"))
+    if max_bytes is not None:
+        reason = reason.when(F.col("length") > max_bytes, F.lit("size"))
+    return files, extension, reason
+
+
+def skipped_files(spark: SparkSession, root: str, max_bytes: int | None = None) -> DataFrame:
+    """(path, length, reason) of the files that `read_files` leaves out with the same limit."""
+    files, _, reason = _corpus(spark, root, max_bytes)
+    return files.select(_plain(F.col("path")).alias("path"), "length", reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def read_files(spark: SparkSession, root: str, owner: str = "unknown", max_bytes: int | None = None) -> DataFrame:
+    """Every file as a mail with one attachment: subject is its path, body is empty.
+
+    Files of certain extensions and, where a limit is given, larger ones are left out; see `skipped_files`.
+    """
+    files, extension, reason = _corpus(spark, root, max_bytes)
     path = _plain(F.col("path"))
     name = base_name(path)
-    extension = F.lower(F.regexp_extract(name, r"[^.]\.([^.]*)$", 1))
     none = F.array().cast("array<string>")
     attachment = F.struct(
         F.md5(F.concat(path, F.lit("/0"))).alias("guid"),
@@ -105,7 +117,7 @@ def read_files(spark: SparkSession, root: str, owner: str = "unknown") -> DataFr
         F.base64("content").alias("contents64"),
         F.col("modificationTime").alias("modified"),
     )
-    return files.where(~extension.isin(*SKIPPED_EXTENSIONS)).select(
+    return files.where(reason.isNull()).select(
         F.md5(path).alias("id"),
         F.col("modificationTime").alias("datetime"),
         F.array(F.lit(owner)).alias("senders"),

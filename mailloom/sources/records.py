@@ -39,13 +39,18 @@ def _halves() -> tuple[Column, Column]:
     return key, F.substr(F.col("value"), F.length(key) + 2)
 
 
-def parse_sidecar(lines: DataFrame, kind: T.DataType = schemas.TEXT_SIDECAR) -> DataFrame:
-    """(id, attachments) of `id <tab> json-array` lines; lines whose JSON is broken are left out."""
+def split_sidecar(lines: DataFrame, kind: T.DataType = schemas.TEXT_SIDECAR) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of `id <tab> json-array` lines: (id, attachments), and (value, error) of broken ones."""
     key, rest = _halves()
-    rows = lines.select(key.alias("id"), rest.alias("json"))
-    return rows.where(F.expr("try_parse_json(json) IS NOT NULL")).select(
-        "id", F.from_json("json", kind).alias("attachments")
-    )
+    rows = lines.select("value", key.alias("id"), rest.alias("json"))
+    valid = F.expr("try_parse_json(json) IS NOT NULL")
+    bad = rows.where(~valid).select("value", F.lit("not a JSON record").alias("error"))
+    return rows.where(valid).select("id", F.from_json("json", kind).alias("attachments")), bad
+
+
+def parse_sidecar(lines: DataFrame, kind: T.DataType = schemas.TEXT_SIDECAR) -> DataFrame:
+    """(id, attachments) of the good lines; `split_sidecar` also gives the broken ones."""
+    return split_sidecar(lines, kind)[0]
 
 
 def parse_scores(lines: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def test_one_hot_address_keeps_exactly_its_first_rows(spark):
 
 def test_longest_phrase_and_thresholds(spark):
     gazetteer = spark.createDataFrame(
-        [("new york", "LOCATION", 0.4), ("new", "MISC", 0.9), ("york city hall", "ORGANIZATION", 0.4), ("x" * 31, "MISC", 1.0)],
+        [("new york", "LOCATION", 0.4), ("new", "MISC", 0.9), ("york, City hall", "ORGANIZATION", 0.4), ("x" * 31, "MISC", 1.0)],
         "phrase string, tag string, score double",
     )
     docs = spark.createDataFrame([("1", "New York, York  City hall new" + " " + "x" * 31), ("2", "none"), ("3", None)], "id string, body string")

@@ -57,7 +57,7 @@ def test_mbox_is_the_same_however_it_is_split(spark, folder):
         for size in ("128m", "10k"):
             spark.conf.set(conf, size)
             emails, _ = normalize(mail.read_mbox(spark, str(folder)))
-            found.append(sorted((r.subject, r.body) for r in emails.select("subject", "body").collect()))
+            found.append(sorted((r.subject, r.body, r.id) for r in emails.select("subject", "body", "id").collect()))
     finally:
         spark.conf.set(conf, before)
     assert len(found[0]) == 2000
@@ -94,6 +94,23 @@ def test_file_corpus(spark, folder):
     assert rows["README"].attachments[0].content_type == mail.UNKNOWN_TYPE
 
 
+def test_files_left_out_are_listed(spark, folder):
+    (folder / "tool.exe").write_text("no")
+    (folder / "long.txt").write_text("x" * 100)
+    (folder / "short.txt").write_text("x")
+    assert mail.read_files(spark, str(folder)).count() == 2
+    assert [r.subject for r in mail.read_files(spark, str(folder), max_bytes=10).collect()] == ["short.txt"]
+    left = mail.skipped_files(spark, str(folder), max_bytes=10).collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.reason) for r in left) == [("long.txt", "size"), ("tool.exe", "extension")]
+
+
+def test_broken_sidecar_lines_are_set_aside(spark):
+    lines = spark.createDataFrame([('1\t[{"guid": "g"}]',), ('2\t[{"guid"',), ("3",)], "value string")
+    good, bad = records.split_sidecar(lines)
+    assert [r.id for r in good.collect()] == ["1"]
+    assert sorted(r.value for r in bad.collect()) == ['2\t[{"guid"', "3"]
+
+
 def test_file_corpus_text_becomes_the_body(spark, folder):
     (folder / "Page.html").write_text("<p>hello</p>")
     files = mail.read_files(spark, str(folder))

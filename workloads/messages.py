@@ -166,10 +166,10 @@ def sidecar_lines(spark, sf_dir):
 
 @query(
     """SELECT CAST(vec_id AS VARCHAR) AS id, CAST(i - 1 AS INTEGER) AS topic, round(CAST(embedding[i] AS DOUBLE), 4) AS score
-    FROM embeddings, generate_series(1, 10) t(i)"""
+    FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)"""
 )
 def score_lines(spark, sf_dir):
-    scores = F.transform(F.slice("embedding", 1, 10), lambda v: F.round(v.cast("double"), 4).cast("string"))
+    scores = F.transform("embedding", lambda v: F.round(v.cast("double"), 4).cast("string"))
     lines = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
         F.concat(F.col("vec_id").cast("string"), F.lit("\t"), F.array_join(scores, " ")).alias("value")
     )

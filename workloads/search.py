@@ -101,14 +101,14 @@ def nested_attachments(spark, sf_dir):
 
 @query(
     f"""WITH {HITS} SELECT addr, guid, filename, strftime(datetime, '%Y-%m-%d') AS sent_on, md5(guid) AS data
-    FROM matching WHERE place <= 100000"""
+    FROM matching"""
 )
 def attachment_export(spark, sf_dir):
     """Every matching attachment with its binary, looked up by guid."""
     binaries = mail(spark, sf_dir).select(F.explode("attachments").alias("a")).select(
         "a.guid", F.base64(F.col("a.guid").cast("binary")).alias("contents64")
     )
-    rows = X.export_rows(_hits(spark, sf_dir, 100_000), binaries)
+    rows = X.export_rows(_hits(spark, sf_dir, None), binaries)
     return rows.select(
         "addr", "guid", "filename", F.date_format("datetime", "yyyy-MM-dd").alias("sent_on"), F.md5("data").alias("data")
     )

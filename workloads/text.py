@@ -103,7 +103,7 @@ def trigram_vectors(spark, sf_dir):
 def _lda(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
     vectors = P.with_terms(T.term_vectors(_bodies(spark, sf_dir), vocab)).select("id", "features").cache()
-    return P.fit_lda(vectors, iterations=5), vectors, vocab
+    return P.fit_lda(vectors), vectors, vocab
 
 
 @query()
@@ -120,18 +120,19 @@ def document_topics(spark, sf_dir):
 
 
 @query(
-    """SELECT 'd' || doc_id AS id, round(CAST(embedding[1] AS DOUBLE), 5) AS idx_0, round(CAST(embedding[2] AS DOUBLE), 5) AS idx_1,
-      round(CAST(embedding[10] AS DOUBLE), 5) AS idx_9
-    FROM documents LEFT JOIN embeddings ON vec_id = doc_id"""
+    """SELECT 'd' || doc_id AS id, CASE WHEN i IS NOT NULL THEN 'idx_' || (i - 1) END AS topic,
+      round(CAST(embedding[i] AS DOUBLE), 5) AS score
+    FROM documents LEFT JOIN (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
+      ON vec_id = doc_id"""
 )
 def topic_merge(spark, sf_dir):
     """The merge alone, with embedding components standing in for topic scores."""
     scores = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
         F.concat(F.lit("d"), F.col("vec_id").cast("string")).alias("id"),
-        F.transform(F.slice("embedding", 1, 10), lambda v: F.round(v.cast("double"), 5)).alias("scores"),
+        F.transform("embedding", lambda v: F.round(v.cast("double"), 5)).alias("scores"),
     )
     rows = P.merge_topics(_bodies(spark, sf_dir).select("id"), scores)
-    return rows.select("id", *[F.col("topic_scores")[f"idx_{i}"].alias(f"idx_{i}") for i in (0, 1, 9)])
+    return rows.select("id", F.explode_outer("topic_scores").alias("topic", "score"))
 
 
 # ---- language ---------------------------------------------------------------------------------
