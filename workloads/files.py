@@ -39,11 +39,11 @@ def page_mail(spark, sf_dir):
 
 
 HTML_SQL = r"""trim(regexp_replace(regexp_replace(
-  replace(replace(replace(replace(replace(replace(
+  replace(replace(replace(replace(replace(replace(replace(replace(
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
       '<!--.*?-->', ' ', 'gs'), '<script\b.*?</script\s*>', ' ', 'gis'), '<style\b.*?</style\s*>', ' ', 'gis'),
       '<(?:br|p|div|li|tr|h[1-6]|title|table|ul|ol)\b[^>]*>', chr(10), 'gi'), '<[^>]*>', ' ', 'gs'),
-    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
   '[ \t\r]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))"""
 
 EXTRACTED = f"""extracted AS (

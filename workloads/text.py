@@ -282,9 +282,14 @@ GAZ = f"""{VOCAB}, gaz AS (
     SELECT id, lang, CAST(i - 1 AS INTEGER) AS start, n AS words, array_to_string(t[i:i + n - 1], ' ') AS phrase
     FROM (SELECT id, lang, t, unnest(range(1, len(t) + 1)) AS i FROM clean), (VALUES (1), (2), (3)) sizes(n)
     WHERE i + n - 1 <= len(t)),
+  spelled AS (
+    SELECT *, array_to_string(regexp_extract_all(regexp_replace(lower(listed), '[^\\x00-\\x7F]', ' ', 'g'), '[A-Za-z0-9]+'), ' ') AS words_of
+    FROM gaz),
+  known AS (SELECT words_of, max({{'tag': tag, 'score': score}}) AS e FROM spelled WHERE words_of <> '' GROUP BY words_of),
   matched AS (
-    SELECT *, row_number() OVER (PARTITION BY id, start ORDER BY words DESC) AS place
-    FROM runs JOIN gaz ON lower(phrase) = listed),
+    SELECT id, lang, start, words, phrase, e.tag AS tag, e.score AS score,
+      row_number() OVER (PARTITION BY id, start ORDER BY words DESC) AS place
+    FROM runs JOIN known ON lower(phrase) = words_of),
   mentions AS (SELECT * FROM matched WHERE place = 1)"""
 
 
@@ -357,15 +362,21 @@ def entity_routing(spark, sf_dir):
 
 
 @query(
-    f"""WITH {DOCS}, {GAZ}, places AS (SELECT runs.*, listed, idx FROM runs JOIN gaz ON lower(phrase) = listed WHERE tag = 'LOCATION')
+    f"""WITH {DOCS}, {GAZ}, spots AS (
+      SELECT words_of, max({{'preferred': 'p:' || listed, 'lat': idx % 90, 'lon': idx % 180}}) AS e
+      FROM spelled WHERE tag = 'LOCATION' AND words_of <> '' GROUP BY words_of),
+    hits AS (
+      SELECT runs.*, e, row_number() OVER (PARTITION BY id, start ORDER BY words DESC) AS place
+      FROM runs JOIN spots ON lower(phrase) = words_of),
+    places AS (SELECT * FROM hits WHERE place = 1)
     SELECT docs.id, count(start) AS n,
-      coalesce(string_agg(phrase || '@' || (idx % 90) || '/' || (idx % 180) || '=' || upper(listed), ',' ORDER BY start), '') AS locations
+      coalesce(string_agg(phrase || '@' || e.lat || '/' || e.lon || '=' || e.preferred, ',' ORDER BY start), '') AS locations
     FROM docs LEFT JOIN places USING (id) GROUP BY docs.id"""
 )
 def place_mentions(spark, sf_dir):
     places = _gazetteer(spark, sf_dir).where(F.col("tag") == "LOCATION").select(
         "phrase",
-        F.upper("phrase").alias("preferred"),
+        F.concat(F.lit("p:"), "phrase").alias("preferred"),
         (F.col("idx") % 90).cast("double").alias("lat"),
         (F.col("idx") % 180).cast("double").alias("lon"),
     )
