@@ -44,6 +44,11 @@ HEADLINE = (
     "latest_by_id",
     "nested_attachments",
     "attachment_export",
+    "topic_terms",
+    "translation_routing",
+    "entity_routing",
+    "place_mentions",
+    "attachment_language",
 )
 
 

@@ -68,11 +68,14 @@ def all_addresses(spark, sf_dir):
 
 
 @query(
-    f"""WITH {EDGES} SELECT addr, regexp_replace(addr, '.*@', '') AS domain, regexp_replace(addr, '.*@', '') AS words
-    FROM (SELECT DISTINCT addr FROM people)"""
+    f"""WITH {EDGES} SELECT addr, regexp_replace(addr, '.*@', '') AS domain,
+      array_to_string(list_filter(string_split_regex(lower(regexp_replace(addr, '.*@', '')), '[^\\p{{L}}\\p{{N}}_.]+'), lambda w: w <> ''), ' ') AS words
+    FROM (SELECT DISTINCT regexp_replace(addr, '[.]example$', '-Unit b.Example') AS addr FROM people)"""
 )
 def address_domains(spark, sf_dir):
-    people = A.participants(mail(spark, sf_dir)).select("addr").distinct()
+    """Addresses with a domain of several words."""
+    several = F.regexp_replace("addr", "[.]example$", "-Unit b.Example").alias("addr")
+    people = A.participants(mail(spark, sf_dir)).select(several).distinct()
     return people.select(
         "addr", C.domain(F.col("addr")).alias("domain"), F.array_join(C.domain_words(F.col("addr")), " ").alias("words")
     )

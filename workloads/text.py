@@ -396,8 +396,10 @@ def place_mentions(spark, sf_dir):
 CLEAN_SQL = r"""translate(replace(regexp_replace({text}, '[^\x00-\x7F]', ' ', 'g'), '[:newline:]', repeat(' ', 11)),
     chr(10) || chr(9) || '"><', '')"""
 
-SPAM = f"""labelled AS (
-    SELECT CASE WHEN toxic = 1 THEN 'spam' ELSE 'nonspam' END AS label, text FROM labels JOIN documents USING (doc_id)),
+def _spam_sql(rows: str = "TRUE") -> str:
+    return f"""labelled AS (
+    SELECT CASE WHEN toxic = 1 THEN 'spam' ELSE 'nonspam' END AS label, text FROM labels JOIN documents USING (doc_id)
+    WHERE {rows}),
   counts AS (
     SELECT token, count(*) FILTER (label = 'spam') AS spam, count(*) FILTER (label = 'nonspam') AS nonspam
     FROM (SELECT label, unnest(regexp_extract_all(lower({CLEAN_SQL.format(text='text')}), '[a-z0-9_]+')) AS token FROM labelled)
@@ -412,14 +414,17 @@ SPAM = f"""labelled AS (
       FROM docs) USING (id) LEFT JOIN model USING (token) GROUP BY docs.id, doc_id)"""
 
 
+SPAM = _spam_sql()
+
+
 def _labelled(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     label = F.when(F.col("toxic") == 1, F.lit(S.SPAM)).otherwise(F.lit(S.NONSPAM))
     return docs(spark, sf_dir).join(labels.select("doc_id", label.alias("label")), "doc_id")
 
 
-def _model(spark, sf_dir):
-    return S.spam_model(S.count_tokens(_labelled(spark, sf_dir).select("label", "body")))
+def _model(spark, sf_dir, rows="TRUE"):
+    return S.spam_model(S.count_tokens(_labelled(spark, sf_dir).where(rows).select("label", "body")))
 
 
 @query(f"WITH {DOCS}, {SPAM} SELECT token, log_odds FROM model")
@@ -428,15 +433,16 @@ def spam_model(spark, sf_dir):
 
 
 @query(
-    f"""WITH {DOCS}, {SPAM}, judged AS (
-      SELECT (score > 0) <> (toxic = 1) AS wrong FROM scored JOIN labels USING (doc_id))
+    f"""WITH {DOCS}, {_spam_sql("doc_id % 2 = 1")}, judged AS (
+      SELECT (score > 0) <> (toxic = 1) AS wrong FROM scored JOIN labels USING (doc_id) WHERE doc_id % 2 = 0)
     SELECT count(*) AS tested, count(*) FILTER (wrong) AS misclassified,
       round(avg(CAST(wrong AS INTEGER)), 6) AS misclassification_rate,
       round(1 - avg(CAST(wrong AS INTEGER)), 6) AS accuracy FROM judged"""
 )
 def spam_evaluation(spark, sf_dir):
-    labelled = _labelled(spark, sf_dir)
-    predicted = S.classify(labelled.select("id", "body"), _model(spark, sf_dir))
+    """Trained on the rows of odd ids, tested on those of even ids."""
+    labelled = _labelled(spark, sf_dir).where("doc_id % 2 = 0")
+    predicted = S.classify(labelled.select("id", "body"), _model(spark, sf_dir, "doc_id % 2 = 1"))
     result = S.evaluate(predicted.join(labelled.select("id", "label"), "id"))
     return result.withColumns(
         {c: F.round(c, 6) for c in ("misclassification_rate", "accuracy")}
