@@ -177,7 +177,13 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     )
     keys = stored(shared.where(F.size("have") > 1).select("set", F.explode(pairs).alias("table_key")))
     buckets = keys.groupBy("table_key").agg(F.min("set").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    edges = keys.join(buckets, "table_key").where(F.col("set") != F.col("leader")).select("set", "leader").distinct()
+    edges = keys.join(buckets, "table_key").where(F.col("set") != F.col("leader"))
+    # a set has at most as many leaders as there are tables; all of them join its smallest leader, and
+    # sets with the same leaders then share those edges
+    led = edges.groupBy("set").agg(F.collect_set("leader").alias("leaders"))
+    least = F.array_min("leaders")
+    starred = led.select(least.alias("leader"), F.explode(F.concat(F.array("set"), "leaders")).alias("set"))
+    edges = starred.where(F.col("set") != F.col("leader")).distinct()
     return components(edges, "set", "leader").select(F.col("node").alias("set"), F.col("component").alias("grp"))
 
 
