@@ -37,7 +37,9 @@ SMOOTHING = 0.1
 STEPS = 3
 #: languages are a closed list; more of them is a mistake in the label column
 MAX_LANGUAGES = 300
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
+#: texts whose new words are looked at together
+TOGETHER = 1000
 FLUSH_WORDS = 100_000
 UNDETERMINED = "und"
 
@@ -59,12 +61,14 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         import ahocorasick
 
+        self.unknown = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
+        # a match is one number: its length less one, then its piece
+        self.base = self.unknown + 2
         self.matcher = ahocorasick.Automaton()
         for i, piece in enumerate(pieces):
-            self.matcher.add_word(piece, (i, len(piece) - 1))
+            self.matcher.add_word(piece, (len(piece) - 1) * self.base + i)
         self.matcher.make_automaton()
-        self.unknown = len(pieces)
-        self.longest = max(map(len, pieces), default=1)
 
     def places(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Words of one length at a time: their positions in the list, and piece ids [word, end, length - 1].
@@ -74,31 +78,33 @@ class Lattice:
         by_length: dict[int, list[int]] = {}
         for i, word in enumerate(words):
             by_length.setdefault(len(word) + 1, []).append(i)
+        matches, step = self.matcher.iter, self.longest * self.base
         for n, members in by_length.items():
-            width = min(n, self.longest)
-            at = np.full((len(members), n, width), self.unknown + 1, dtype=np.int32)
-            at[:, :, 0] = self.unknown
-            found = [
-                (row, end, k, piece)
-                for row, i in enumerate(members)
-                for end, (piece, k) in self.matcher.iter("▁" + words[i])
-            ]
-            if found:
-                row, end, k, piece = np.array(found).T
-                at[row, end, k] = piece
-            yield np.array(members), at
-
-
-def forward(at: np.ndarray, probability) -> np.ndarray:
-    """alpha[word, end, ...]: probability of all segmentations of the first `end` characters."""
-    words, n, width = at.shape
-    alpha = [np.ones_like(probability(at[:, 0, 0]))]
+            codes: list[int] = []
+            for row, i in enumerate(members):
+                first = row * n * step
+                codes += [first + end * step + match for end, match in matches("▁" + words[i])]
+            cell, piece = np.divmod(np.array(codes, dtype=np.int64), self.base)
+            cell, k = np.divmod(cell, self.longest)
+            at = np.full((len(members) * n, int(k.max(initial=0)) + 1), self.unknown + 1, dtype=np.int32)
+            at[:, 0] = self.unknown
+            at[cell, k] = piece
+            yield np.array(members), at.reshape(len(members), n, -1)
+
+
+def forward(p: np.ndarray) -> np.ndarray:
+    """alpha[word, end, ...]: probability of all segmentations of the first `end` characters.
+
+    `p` is the probability of the piece [word, end, length - 1, ...].
+    """
+    n, width = p.shape[1:3]
+    alpha = np.ones((p.shape[0], n + 1, *p.shape[3:]))
     for end in range(1, n + 1):
-        total = 0.0
-        for k in range(1, min(width, end) + 1):
-            total = total + alpha[end - k] * probability(at[:, end - 1, k - 1])
-        alpha.append(total)
-    return np.stack(alpha, axis=1)
+        total = alpha[:, end - 1] * p[:, end - 1, 0]
+        for k in range(2, min(width, end) + 1):
+            total += alpha[:, end - k] * p[:, end - 1, k - 1]
+        alpha[:, end] = total
+    return alpha
 
 
 @dataclass(frozen=True)
@@ -183,24 +189,20 @@ def expectation(counts: DataFrame, languages: tuple[str, ...], pieces: list[str]
             weight = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
             for members, at in lattice.places(batch.column(1).to_pylist()):
                 own, n_of = lang[members], weight[members]
-                pick = lambda ids, own=own: p[ids, own]
-                alpha = forward(at, pick)
+                chance = p[at, own[:, None, None]]
+                alpha = forward(chance)
                 n, width = at.shape[1:]
                 beta = np.zeros_like(alpha)
-                beta[:, n] = 1.0
+                beta[:, n] = n_of / alpha[:, n]
+                used = np.zeros_like(chance)
                 for end in range(n, 0, -1):
                     for k in range(1, min(width, end) + 1):
-                        beta[:, end - k] += beta[:, end] * pick(at[:, end - 1, k - 1])
-                scale = n_of / alpha[:, n]
-                for end in range(1, n + 1):
-                    behind = beta[:, end] * scale
-                    for k in range(1, min(width, end) + 1):
-                        ids = at[:, end - 1, k - 1]
-                        use = np.flatnonzero(ids < len(names))
-                        if len(use):
-                            value = (alpha[:, end - k] * pick(ids) * behind)[use]
-                            cells.append(ids[use] * p.shape[1] + own[use])
-                            values.append(value)
+                        onward = beta[:, end] * chance[:, end - 1, k - 1]
+                        beta[:, end - k] += onward
+                        used[:, end - 1, k - 1] = alpha[:, end - k] * onward
+                word, end, k = np.nonzero(used)
+                cells.append(at[word, end, k].astype(np.int64) * p.shape[1] + own[word])
+                values.append(used[word, end, k])
                 if sum(map(len, cells)) > FLUSH_WORDS * 10:
                     total += gathered()
         total += gathered()
@@ -215,42 +217,64 @@ def expectation(counts: DataFrame, languages: tuple[str, ...], pieces: list[str]
 
 
 class Scorer:
-    """Predictions of one model; keeps the words it has seen, up to `CACHE_WORDS`."""
+    """Predictions of one model; keeps the log probabilities of up to `CACHE_WORDS` words."""
 
     def __init__(self, model: Model):
         self.model = model
         self.lattice = Lattice(list(model.pieces))
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((0, len(model.languages)))
+        self.rows = np.zeros((CACHE_WORDS, len(model.languages)))
 
     def learn(self, words: list[str]) -> None:
+        """Rows for words that have none; all words fit in the memory together."""
         values = np.zeros((len(words), len(self.model.languages)))
         for members, at in self.lattice.places(words):
-            values[members] = np.log(forward(at, lambda ids: self.model.table[ids])[:, -1])
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known, self.rows = {}, values[:0]
-        self.known.update(zip(words, range(len(self.rows), len(self.rows) + len(words)), strict=True))
-        self.rows = np.concatenate([self.rows, values])
+            values[members] = np.log(forward(self.model.table[at])[:, -1])
+        first = len(self.known)
+        self.rows[first : first + len(words)] = values
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+
+    def forget(self, wanted: set[str]) -> None:
+        """Makes room: the words of the texts at hand stay."""
+        stay = [w for w in wanted if w in self.known]
+        rows = self.rows[[self.known[w] for w in stay]]
+        self.rows[: len(stay)] = rows
+        self.known = dict(zip(stay, range(len(stay)), strict=True))
+
+    def totals(self, words: Counter) -> np.ndarray:
+        """Log probability of a text under each language; texts of any number of words."""
+        names = list(words)
+        total = np.zeros(len(self.model.languages))
+        for start in range(0, len(names), CACHE_WORDS // 2):
+            part = names[start : start + CACHE_WORDS // 2]
+            missing = [w for w in part if w not in self.known]
+            if len(self.known) + len(missing) > CACHE_WORDS:
+                self.forget(set(part))
+                missing = [w for w in part if w not in self.known]
+            self.learn(missing)
+            at = np.fromiter(map(self.known.__getitem__, part), dtype=np.int64, count=len(part))
+            n = np.fromiter(map(words.__getitem__, part), dtype=float, count=len(part))
+            total += n @ self.rows[at]
+        return total
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [], []
-        counted = [Counter(words_of(t)) if t else Counter() for t in texts]
-        for start in range(0, len(counted), 200):
-            part = counted[start : start + 200]
-            missing = set().union(*part) - self.known.keys()
-            if missing:
+        for start in range(0, len(texts), TOGETHER):
+            part = [Counter(words_of(t)) if t else Counter() for t in texts[start : start + TOGETHER]]
+            # new words of many texts are looked at together
+            wanted = set().union(*part)
+            if len(wanted) <= CACHE_WORDS:
+                missing = [w for w in wanted if w not in self.known]
                 if len(self.known) + len(missing) > CACHE_WORDS:
-                    self.known, self.rows = {}, self.rows[:0]
-                    missing = set().union(*part)
-                self.learn(list(missing))
+                    self.forget(wanted)
+                    missing = [w for w in wanted if w not in self.known]
+                self.learn(missing)
             for words in part:
                 if not words or not self.model.languages:
                     names.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
-                at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-                n = np.fromiter(words.values(), dtype=float, count=len(words))
-                total = n @ self.rows[at]
+                total = self.totals(words)
                 odds = np.exp(total - total.max())
                 best = int(odds.argmax())
                 names.append(self.model.languages[best])
