@@ -38,6 +38,8 @@ STEPS = 3
 #: languages are a closed list; more of them is a mistake in the label column
 MAX_LANGUAGES = 300
 CACHE_WORDS = 500_000
+#: numbers in one table of places, or in the memory of words, over all languages
+CELLS = 4_000_000
 #: texts whose new words are looked at together
 TOGETHER = 1000
 FLUSH_WORDS = 100_000
@@ -58,9 +60,10 @@ def words_of(text: str) -> list[str]:
 class Lattice:
     """The pieces of a vocabulary at every place of words."""
 
-    def __init__(self, pieces: list[str]):
+    def __init__(self, pieces: list[str], languages: int = 1):
         import ahocorasick
 
+        self.most_cells = CELLS // max(1, languages)
         self.unknown = len(pieces)
         self.longest = max(map(len, pieces), default=1)
         # a match is one number: its length less one, then its piece
@@ -70,6 +73,13 @@ class Lattice:
             self.matcher.add_word(piece, (len(piece) - 1) * self.base + i)
         self.matcher.make_automaton()
 
+    def parts(self, by_length: dict[int, list[int]]) -> Iterator[tuple[int, list[int]]]:
+        """Words of one length in parts whose tables stay within `CELLS` numbers."""
+        for n, members in by_length.items():
+            together = max(1, self.most_cells // (n * min(n, self.longest)))
+            for start in range(0, len(members), together):
+                yield n, members[start : start + together]
+
     def places(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Words of one length at a time: their positions in the list, and piece ids [word, end, length - 1].
 
@@ -79,7 +89,7 @@ class Lattice:
         for i, word in enumerate(words):
             by_length.setdefault(len(word) + 1, []).append(i)
         matches, step = self.matcher.iter, self.longest * self.base
-        for n, members in by_length.items():
+        for n, members in self.parts(by_length):
             codes: list[int] = []
             for row, i in enumerate(members):
                 first = row * n * step
@@ -217,13 +227,14 @@ def expectation(counts: DataFrame, languages: tuple[str, ...], pieces: list[str]
 
 
 class Scorer:
-    """Predictions of one model; keeps the log probabilities of up to `CACHE_WORDS` words."""
+    """Predictions of one model; keeps the log probabilities of a bounded number of words."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.lattice = Lattice(list(model.pieces))
+        self.lattice = Lattice(list(model.pieces), len(model.languages))
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((CACHE_WORDS, len(model.languages)))
+        self.most = max(1000, min(CACHE_WORDS, CELLS // max(1, len(model.languages))))
+        self.rows = np.zeros((self.most, len(model.languages)))
 
     def learn(self, words: list[str]) -> None:
         """Rows for words that have none; all words fit in the memory together."""
@@ -245,10 +256,10 @@ class Scorer:
         """Log probability of a text under each language; texts of any number of words."""
         names = list(words)
         total = np.zeros(len(self.model.languages))
-        for start in range(0, len(names), CACHE_WORDS // 2):
-            part = names[start : start + CACHE_WORDS // 2]
+        for start in range(0, len(names), self.most // 2):
+            part = names[start : start + self.most // 2]
             missing = [w for w in part if w not in self.known]
-            if len(self.known) + len(missing) > CACHE_WORDS:
+            if len(self.known) + len(missing) > self.most:
                 self.forget(set(part))
                 missing = [w for w in part if w not in self.known]
             self.learn(missing)
@@ -263,9 +274,9 @@ class Scorer:
             part = [Counter(words_of(t)) if t else Counter() for t in texts[start : start + TOGETHER]]
             # new words of many texts are looked at together
             wanted = set().union(*part)
-            if len(wanted) <= CACHE_WORDS:
+            if len(wanted) <= self.most:
                 missing = [w for w in wanted if w not in self.known]
-                if len(self.known) + len(missing) > CACHE_WORDS:
+                if len(self.known) + len(missing) > self.most:
                     self.forget(wanted)
                     missing = [w for w in wanted if w not in self.known]
                 self.learn(missing)
