@@ -260,8 +260,18 @@ def test_linked_lines_are_similar_and_close_ones_are_linked(spark):
 
 
 def test_words_become_letters(spark):
-    row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.as_letters(F.col("t")).alias("x")).first().x
-    assert len(row) == 3 and row[0] == row[2] != row[1]
+    row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.spelled(F.split("t", " ")).alias("x")).first().x
+    assert len(row) == 6 and row[:2] == row[4:] != row[2:4]
+
+
+def test_simhash_is_the_majority_of_the_words(spark):
+    text = "one two three four five six"
+    row = spark.createDataFrame([(text, text.split())], "t string, w array<string>")
+    letters = row.select(lines.spelled(F.col("w")).alias("x")).first().x
+    hashes = [r.h % 2**64 for r in spark.createDataFrame([(letters[i : i + 2],) for i in range(0, len(letters), 2)], "w string").select(F.xxhash64("w").alias("h")).collect()]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    found = lines.simhashes(spark.createDataFrame([(1, letters)] * 3, "line long, letters string")).collect()
+    assert [(r.line, r.sim % 2**64) for r in found] == [(1, want)]
 
 
 # ---- secrets ------------------------------------------------------------------------------------
