@@ -259,6 +259,42 @@ def test_linked_lines_are_similar_and_close_ones_are_linked(spark):
     assert not any(found[i] for i in range(len(texts)) if i % 5 == 4)
 
 
+def grown(dice, tokens, edits):
+    """Changed, dropped and added words."""
+    out = list(tokens)
+    for _ in range(edits):
+        at = dice.randrange(len(out))
+        new = f"new{dice.randrange(10**6)}"
+        out[at : at + dice.choice((0, 1, 1))] = dice.choice(([new], [new], []))
+    return out
+
+
+def test_all_similar_lines_are_linked_at_any_length(spark):
+    dice = random.Random(33)
+    texts = []
+    for n in (5, 6, 7, 8, 9, 10, 12, 15, 20, 24, 33, 40, 70, 120):
+        for _ in range(8):
+            base = words(dice, n, dice.choice((3, 40, 10**5)))
+            texts += [base, *(grown(dice, base, dice.randint(1, max(1, n // 5))) for _ in range(2)), edited(dice, base, n // 5)]
+    # a group of near copies, and a chain in it
+    base = words(dice, 30, 10**5)
+    texts += [edited(dice, base, 3) for _ in range(40)]
+    for i in range(0, 30, 3):
+        base = [*base[:i], *words(dice, 3, 10**7), *base[i + 3 :]]
+        texts.append(base)
+    texts = [list(t) for t in dict.fromkeys(map(tuple, texts)) if len(t) >= 5]
+    links = [
+        (i, j) for j in range(len(texts)) for i in range(j)
+        if abs(len(texts[i]) - len(texts[j])) <= max(len(texts[i]), len(texts[j])) // 5
+        and distance(texts[i], texts[j]) * 5 <= max(len(texts[i]), len(texts[j]))
+    ]
+    want = smallest_reachable(len(texts), links)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], TEXTS).repartition(5)
+    found = {r.doc_id: r.deduped.n_removed for r in lines.dedup_lines(docs).collect()}
+    assert len(links) > 400
+    assert found == {i: int(want[i] != i) for i in range(len(texts))}
+
+
 def test_words_become_letters(spark):
     row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.spelled(F.split("t", " ")).alias("x")).first().x
     assert len(row) == 6 and row[:2] == row[4:] != row[2:4]
