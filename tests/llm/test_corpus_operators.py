@@ -295,6 +295,14 @@ def test_all_similar_lines_are_linked_at_any_length(spark):
     assert found == {i: int(want[i] != i) for i in range(len(texts))}
 
 
+def test_exact_copies_of_lines_of_few_words_are_removed(spark):
+    chinese = "\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u53e5\u5b50\u6ca1\u6709\u7a7a\u683c"
+    rows = [(1, f"{chinese}\nAll rights reserved\n}}\n\nshort"), (2, f"{chinese}\nall rights, reserved!\n}}\n\nshort"), (3, f"own {chinese}")]
+    found = {r.doc_id: r.deduped for r in lines.dedup_lines(spark.createDataFrame(rows, TEXTS)).collect()}
+    assert [found[i].n_removed for i in (1, 2, 3)] == [0, 2, 0]
+    assert found[2].text == "}\n\nshort" and found[3].text == rows[2][1]
+
+
 def test_words_become_letters(spark):
     row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.spelled(F.split("t", " ")).alias("x")).first().x
     assert len(row) == 6 and row[:2] == row[4:] != row[2:4]
