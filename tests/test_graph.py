@@ -53,6 +53,24 @@ def test_planted_communities_are_found(spark):
     assert groups(again) == groups(membership)
 
 
+def gain_of_merging(pairs, of):
+    """The most that uniting two communities would add to modularity, times the square of twice the edges."""
+    total, size, between = 2 * len(pairs), {}, {}
+    for a, b in pairs:
+        for x in (a, b):
+            size[of[x]] = size.get(of[x], 0) + 1
+        key = tuple(sorted((of[a], of[b])))
+        between[key] = between.get(key, 0) + 1
+    return max(2 * (n * total - size[a] * size[b]) for (a, b), n in between.items() if a != b)
+
+
+def test_no_two_communities_gain_by_uniting(spark):
+    pairs = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(300)]
+    of = {r.addr: r.community_key for r in C.louvain(graph(spark, pairs)).collect()}
+    assert len(of) == 301
+    assert gain_of_merging(pairs, of) <= 0
+
+
 def test_modularity_of_two_cliques(spark):
     edges = graph(spark, clique("a", 6) + clique("b", 6) + [("a0", "b0")])
     nodes = A.node_index(edges)
