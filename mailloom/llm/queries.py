@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailloom.llm import decontamination, language_id, lines, minhash, pieces, secrets, spans, topk, toxicity, urls, vocabulary
-from mailloom.llm.shared import table
+from mailloom.llm import (
+    conversation_repair,
+    decontamination,
+    filter_audit,
+    language_id,
+    lines,
+    minhash,
+    pieces,
+    quality_ledger,
+    secrets,
+    spans,
+    topk,
+    toxicity,
+    urls,
+    vocabulary,
+)
+from mailloom.llm.shared import stored, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -293,3 +308,209 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.grade(docs, model).select("doc_id", "toxicity.*")
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Effect of five filters in each of their 120 orders, by source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    masks = filter_audit.document_masks(docs, table(spark, sf_dir, "labels"))
+    return filter_audit.audit(masks)
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM texts GROUP BY t),
+marks AS (SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           {'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+            'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t),
+            'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > first, false)} AS f
+    FROM texts LEFT JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+failed AS MATERIALIZED (
+    SELECT part, set_, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'],
+              lambda x: CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END) AS set_
+          FROM judged) GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+    SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, i AS step, o[i] AS filter FROM orders, (SELECT unnest(range(1, 6)) AS i)),
+counted AS (
+    SELECT part, o, step, filter,
+           coalesce(sum(n) FILTER (NOT list_has_any(set_, o[1 : step])), 0) AS kept,
+           coalesce(sum(n) FILTER (list_contains(set_, filter) AND NOT list_has_any(set_, o[1 : step - 1])), 0) AS removed,
+           coalesce(sum(n) FILTER (list_contains(set_, filter) AND list_has_any(set_, o[1 : step - 1])), 0) AS redundant,
+           coalesce(sum(n) FILTER (set_ = [filter]), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (list_contains(set_, filter) AND NOT list_has_any(set_, o[1 : step - 1])), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (list_contains(set_, filter) AND NOT list_has_any(set_, o[1 : step - 1])), 0) AS toxic_lost
+    FROM failed, steps GROUP BY part, o, step, filter)
+SELECT part, array_to_string(o, '') AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM counted
+"""
+
+
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements and verdict of every document, and the bits of the rules that it breaks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    entry = F.col("ledger")
+    base = quality_ledger.passes(entry["failures"], quality_ledger.POLICIES["v1"])
+    kept = base & quality_ledger.passes(entry["failures"], quality_ledger.POLICIES["v3"])
+    return quality_ledger.enter(docs).select(
+        "doc_id",
+        *(entry[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+        (~base).alias("base_failed"),
+        kept.alias("kept"),
+        entry["failures"].alias("failures"),
+    )
+
+
+_LEDGER_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+windows AS (
+    SELECT r, s, w[s : s + 7] AS x FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS s FROM texts)),
+again AS (SELECT r, unnest(list(s)) AS s FROM windows GROUP BY r, x HAVING count(*) > 1),
+covered AS (SELECT r, count(DISTINCT i) AS n FROM (SELECT r, unnest(range(s, s + 8)) AS i FROM again) GROUP BY r),
+measured AS (
+    SELECT doc_id, source, len(w)::BIGINT AS n_words,
+           coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+    FROM texts LEFT JOIN covered USING (r)),
+ledger AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           (CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+            + CASE WHEN 10 * n_symbols > 4 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END
+            + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END
+            + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)::BIGINT AS failures
+    FROM measured)
+"""
+
+ORACLES["op12_quality_rules"] = (
+    _LEDGER_SQL
+    + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failures = 0 AS kept, failures
+FROM ledger"""
+)
+
+
+@query
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy removes alone, and what the policy keeps without it, by source."""
+    docs = table(spark, sf_dir, "documents").select("source", "text")
+    return quality_ledger.ablations(quality_ledger.enter(docs), by=("source",))
+
+
+ORACLES["quality_ablations"] = (
+    _LEDGER_SQL
+    + """, rules(rule, bit) AS (VALUES ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8),
+    ('short_words', 16), ('long_words', 32)),
+policies(policy, mask) AS (VALUES ('v1', 3), ('v2', 15), ('v3', 63))
+SELECT source, policy, rule, count(*) AS docs, count(*) FILTER (failures & bit <> 0) AS failing,
+       count(*) FILTER (failures & mask = bit) AS removed, count(*) FILTER (failures & (mask - bit) = 0) AS kept_without
+FROM ledger, policies JOIN rules ON mask & bit <> 0 GROUP BY source, policy, rule"""
+)
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired rows of every conversation, after planted damage."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversation_repair.damage(given)
+    repairs = stored(conversation_repair.find_repairs(rows))
+    digests = conversation_repair.repaired_digests(rows, repairs)
+    every = given.select(F.col("conv_id").alias("own")).distinct()
+    counts = conversation_repair.RESULT
+    found = (
+        every.join(repairs, F.col("own").eqNullSafe(F.col("conv_id")), "left")
+        .drop("conv_id")
+        .join(digests, F.col("own").eqNullSafe(F.col("conv_id")), "left")
+    )
+    return found.select(
+        F.col("own").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+ORACLES["op13_conversation_repair"] = r"""
+WITH RECURSIVE crcs AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+given AS (
+    SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+    FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations), crcs),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM given),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+           NOT regexp_matches(text, '[^ 	-]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut FROM placed),
+rows_ AS MATERIALIZED (
+    SELECT *, blank OR again AS gone, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM judged),
+counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+           count(*) FILTER (NOT gone AND cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows_ GROUP BY conv_id),
+turns(p, x, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+adds(p, q, cost, edits) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''),
+    (0, 2, 3, 'I'), (1, 2, 3, 'I'), (3, 2, 3, 'I'), (2, 3, 3, 'I'),
+    (0, 3, 6, 'II'), (1, 3, 6, 'II'), (3, 3, 6, 'II'), (2, 2, 6, 'II')),
+edits(x, gone, cut, p, q, cost, edit) AS (
+    SELECT x, g, c, p, p, 4, 'D' FROM (VALUES ('s'), ('u'), ('a'), ('o')) a(x), (VALUES (true), (false)) b(g), (VALUES (true), (false)) d(c),
+        (VALUES (0), (1), (2), (3)) e(p)
+    UNION ALL SELECT x, false, c, p, q, CASE WHEN c THEN 3 ELSE 0 END, 'K' FROM turns, (VALUES (true), (false)) d(c)
+    UNION ALL SELECT a.x, false, c, p, q, CASE WHEN c THEN 6 ELSE 3 END, 'R'
+        FROM turns, (VALUES ('s'), ('u'), ('a'), ('o')) a(x), (VALUES (true), (false)) d(c) WHERE turns.x <> 's'),
+ways AS (
+    SELECT x, gone, cut, adds.p AS p, edits.q AS q, min({'cost': adds.cost + edits.cost, 'edits': adds.edits || edit}) AS best
+    FROM adds JOIN edits ON adds.q = edits.p GROUP BY ALL),
+walk AS (
+    SELECT conv_id, 0::BIGINT AS i, 0 AS state, {'cost': 0, 'edits': ''} AS best FROM counts
+    UNION ALL
+    SELECT w.conv_id, w.i + 1, ways.q, min({'cost': w.best.cost + ways.best.cost, 'edits': w.best.edits || ways.best.edits})
+    FROM walk w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+         JOIN ways ON ways.x = r.initial AND ways.gone = r.gone AND ways.cut = r.cut AND ways.p = w.state
+    GROUP BY w.conv_id, w.i, ways.q),
+ended AS (
+    SELECT w.conv_id, min({'cost': w.best.cost + adds.cost, 'edits': w.best.edits || adds.edits}) AS best
+    FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = c.n JOIN adds ON adds.p = w.state
+    WHERE adds.q IN (0, 3) GROUP BY w.conv_id),
+letters AS (
+    SELECT conv_id, pos, substr(best.edits, pos, 1) AS edit, length(replace(substr(best.edits, 1, pos), 'I', '')) AS i
+    FROM (SELECT conv_id, best, unnest(range(1, length(best.edits) + 1)) AS pos FROM ended)),
+stays AS (
+    SELECT l.conv_id, pos, edit, role, text, edit = 'K' AND initial = 's' AS system,
+           sum((edit <> 'D')::INTEGER - (edit = 'K' AND initial = 's')::INTEGER) OVER (PARTITION BY l.conv_id ORDER BY pos) AS place
+    FROM letters l LEFT JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i AND l.edit <> 'I'
+    WHERE edit <> 'D'),
+repaired AS (
+    SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+           || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS spelled FROM stays GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+       coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.edits, '') AS audit, sha256(coalesce(spelled, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
