@@ -292,7 +292,7 @@ def segments(rows: DataFrame) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 initial = row["role"][:1]
-                initial = initial if initial in INITIALS else OTHER
+                initial = initial if initial and initial in INITIALS else OTHER
                 if current is None or row["conv"] != current["conv"]:
                     if current is not None:
                         out.append(closed(first))

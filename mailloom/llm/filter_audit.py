@@ -161,8 +161,8 @@ def audit(masks: DataFrame, filters: Sequence[str] = FILTERS) -> DataFrame:
     of a part add up. Filter names are one letter each. Rows with a null mask or part take no part; a null
     count is 0. An empty table gives no rows. Other columns are not looked at.
     """
-    if len(filters) > MOST_FILTERS or len(set(filters)) < len(filters):
-        raise ValueError(f"at most {MOST_FILTERS} filters with names of their own")
+    if not 1 <= len(filters) <= MOST_FILTERS or len(set(filters)) < len(filters):
+        raise ValueError(f"1 to {MOST_FILTERS} filters with names of their own")
     filters = tuple(filters)
     summed = (
         masks.where(F.col("part").isNotNull() & F.col("mask").isNotNull())
