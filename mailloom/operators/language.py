@@ -12,9 +12,15 @@ from mailloom.runtime import bounded_rows, checkpointed
 
 MAX_LANGUAGES = 500
 
+# what a trigram must occur in a language's texts to be in a profile learned from a large corpus
+LEAST_GRAMS = 3
+
 # log weights are kept as whole millionths, so sums do not depend on the order of rows
 SCALE = 1_000_000
 
+# pieces of text that share a dictionary when translated
+CHUNK = 512
+
 # fixed values: words a tokenizer must not take apart
 ABBREVIATIONS = tuple(
     """mr. mrs. ms. mme. dr. a.m. p.m. u.s. e.u. i.d. d.c. t.b. p.s. m.s. m.a. u.n
@@ -28,6 +34,34 @@ def char_trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(?=(.{3}))."), F.lit(1))
 
 
+def gram_counts(text: Column) -> Column:
+    """array<struct<gram, n>>: the distinct trigrams of a text and how often each occurs; none for null.
+
+    Sorted trigrams are counted by where each run of equal ones begins, so a text costs n log n.
+    """
+
+    def counted(grams: Column) -> Column:
+        starts = F.filter(
+            F.transform(grams, lambda g, i: F.when((i == 0) | (g != F.get(grams, i - 1)), i)), lambda i: i.isNotNull()
+        )
+        return _with(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda i, k: F.struct(
+                    F.get(grams, i).alias("gram"), (F.coalesce(F.get(at, k + 1), F.size(grams)) - i).cast("bigint").alias("n")
+                ),
+            ),
+        )
+
+    return _with(F.sort_array(char_trigrams(F.coalesce(text, F.lit("")))), counted)
+
+
+def _with(value: Column, use) -> Column:
+    """`use(value)` with the value computed once however often it is mentioned."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 @dataclass(frozen=True)
 class LanguageProfile:
     """weights: (gram, one bigint column per language); floors: score of an unseen gram."""
@@ -36,12 +70,17 @@ class LanguageProfile:
     floors: dict[str, int]
 
 
-def train_profile(labelled: DataFrame) -> LanguageProfile:
-    """Add-one naive Bayes over the trigrams of (lang, body) rows."""
+def train_profile(labelled: DataFrame, least: int = 1) -> LanguageProfile:
+    """Add-one naive Bayes over the trigrams of (lang, body) rows.
+
+    A trigram that a language's texts have fewer than `least` times gets no weight in it and scores as
+    unseen, so that the table need not grow with every misspelling (`LEAST_GRAMS` suits large corpora);
+    totals count all trigrams.
+    """
     counts = checkpointed(
-        labelled.select("lang", F.explode(char_trigrams(F.col("body"))).alias("gram"))
-        .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        labelled.select("lang", F.explode(gram_counts(F.col("body"))).alias("g"))
+        .groupBy("lang", "g.gram")
+        .agg(F.sum("g.n").alias("n"))
     )
     size = F.lit(counts.select("gram").distinct().count())
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -49,25 +88,25 @@ def train_profile(labelled: DataFrame) -> LanguageProfile:
     rows = bounded_rows(totals.select("lang", floor.alias("floor")), MAX_LANGUAGES, "the label set")
     floors = {r.lang: r.floor for r in sorted(rows, key=lambda r: r.lang)}
     weight = F.round(F.ln(F.col("n") + 1) * SCALE).cast("bigint")
-    weights = counts.groupBy("gram").agg(
+    weights = counts.where(F.col("n") >= least).groupBy("gram").agg(
         *[F.sum(F.when(F.col("lang") == name, weight)).alias(f"w_{name}") for name in floors]
     )
-    return LanguageProfile(weights, floors)
+    return LanguageProfile(checkpointed(weights), floors)
 
 
 def score_languages(docs: DataFrame, profile: LanguageProfile) -> DataFrame:
     """(id, n_grams, scores): scores is one struct(score, lang) per language, best first.
 
-    `docs` is (id, body). The profile join keeps a document's rows together, so the sums combine
-    before the shuffle and one row per document travels.
+    `docs` is (id, body). Trigrams are counted in the row, so the join sees each of a text's distinct
+    trigrams once; its sums combine before the shuffle, and one row per text travels.
     """
-    grams = docs.select("id", F.explode_outer(char_trigrams(F.col("body"))).alias("gram"))
+    counted = docs.select("id", F.explode_outer(gram_counts(F.col("body"))).alias("g")).select("id", "g.gram", "g.n")
     sums = (
-        grams.join(profile.weights, "gram", "left")
+        counted.join(profile.weights, "gram", "left")
         .groupBy("id")
         .agg(
-            F.count("gram").alias("n_grams"),
-            *[F.coalesce(F.sum(f"w_{name}"), F.lit(0)).alias(f"w_{name}") for name in profile.floors],
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_grams"),
+            *[F.coalesce(F.sum(F.col("n") * F.col(f"w_{name}")), F.lit(0)).alias(f"w_{name}") for name in profile.floors],
         )
     )
     scored = [
@@ -111,31 +150,78 @@ def lexicon_languages(lexicon: DataFrame) -> list[str]:
     return [r.lang for r in bounded_rows(lexicon.select("lang").distinct(), MAX_LANGUAGES, "the lexicon")]
 
 
-def lexicon_translate(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(id, translated) of (id, lang, text) rows, word by word in order.
+def text_pieces(text: Column) -> Column:
+    """A text as tokens: white-space runs as they are, words with their punctuation split off. Joined, they
+    are the text again."""
+    runs = F.regexp_extract_all(text, F.lit(r"(?U)\s+|\S+"), F.lit(0))
+    edged = r"\A\p{P}|\p{P}\z"
+    return F.flatten(F.transform(runs, lambda r: F.when(r.rlike(edged), tokenize_punctuation(r)).otherwise(F.array(r))))
+
+
+def _cut(pieces: Column) -> Column:
+    """Pieces in chunks of `CHUNK`, so that looking words up costs a text its length and not its square."""
+    count = F.ceil(F.size(pieces) / CHUNK).cast("int")
+    at = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.slice(pieces, i * CHUNK + 1, F.lit(CHUNK)))
 
-    Blank texts give ''; a language the lexicon lacks gives the text itself; unknown words stay.
+
+def translate_fields(rows: DataFrame, fields: Sequence[str], lexicon: DataFrame, lang: str = "lang", key: str = "id") -> DataFrame:
+    """Add <field>_translated to rows (`key`, `lang`, fields), word by word, all else as it stands.
+
+    Words are looked up in lower case without the punctuation around them; unknown words, punctuation,
+    spaces and line breaks stay, and entries that begin with punctuation match nothing. A blank text gives
+    '', a null one null, and a language the lexicon lacks gives the text itself. `key` is unique.
+
+    All fields of a row share one join: their distinct words meet the lexicon, what it knows comes back as
+    a dictionary for each chunk of text, and the text is rewritten inside the row.
     """
-    known = F.col("lang").isin(lexicon_languages(lexicon))
-    blank = F.trim(F.regexp_replace("text", r"(?U)\s+", " ")) == ""
-    tokens = F.filter(F.split("text", r"(?U)\s+"), lambda w: w != "")
-    looked_up = (
-        texts.where(known & ~blank)
-        .select("id", "lang", F.posexplode(tokens).alias("pos", "token"))
-        .withColumn("word", F.lower("token"))
-        .join(lexicon.select("lang", "word", "translation"), ["lang", "word"], "left")
-        .groupBy("id")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("pos", F.coalesce("translation", "token").alias("token")))
-            ).alias("t")
-        )
-        .select("id", F.array_join(F.transform("t", lambda x: x.token), " ").alias("translated"))
-    )
-    as_is = texts.where(~(known & ~blank) | known.isNull() | blank.isNull()).select(
-        "id", F.when(blank, F.lit("")).otherwise(F.col("text")).alias("translated")
+    known = F.coalesce(F.col(lang).isin(lexicon_languages(lexicon)), F.lit(False))
+
+    def blank(field: str) -> Column:
+        return F.col(field).rlike(r"(?U)\A\s*\z")
+
+    def chunks(field: str) -> Column:
+        readable = known & F.col(field).isNotNull() & ~blank(field)
+        return F.when(readable, _with(text_pieces(F.col(field)), _cut)).otherwise(F.array().cast("array<array<string>>"))
+
+    def numbered(field: str) -> Column:
+        return F.transform(chunks(field), lambda c, i: F.struct(F.lit(field).alias("field"), i.alias("chunk"), c.alias("c")))
+
+    every = F.concat(*map(numbered, fields))
+    cut = rows.where(known).select(key, F.col(lang).alias("lang"), F.explode(every).alias("x"))
+    spoken = F.filter("x.c", lambda t: ~t.rlike(r"(?U)\A[\s\p{P}]"))
+    words = cut.select(key, "lang", "x.field", "x.chunk", F.explode(F.array_distinct(F.transform(spoken, lambda t: F.lower(t)))).alias("word"))
+    # of several translations the first in order
+    listed = lexicon.groupBy("lang", "word").agg(F.min("translation").alias("translation")).where(F.col("translation").isNotNull())
+    entry = F.struct("word", "translation")
+    dictionaries = (
+        words.join(listed, ["lang", "word"])
+        .groupBy(key, "field", "chunk")
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("words"))
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.struct("field", "chunk"), "words"))).alias("_words"))
     )
-    return looked_up.unionByName(as_is)
+
+    def rewritten(field: str) -> Column:
+        def chunk(pieces: Column, i: Column) -> Column:
+            known_words = F.try_element_at("_words", F.struct(F.lit(field).alias("field"), i.alias("chunk")))
+            return F.when(known_words.isNull(), F.array_join(pieces, "")).otherwise(
+                _with(
+                    known_words,
+                    lambda d: F.array_join(F.transform(pieces, lambda t: F.coalesce(F.try_element_at(d, F.lower(t)), t)), ""),
+                )
+            )
+
+        done = F.array_join(F.transform(chunks(field), lambda c, i: chunk(c, i)), "")
+        return F.when(F.col(field).isNotNull(), F.when(blank(field), "").when(~known | F.col("_words").isNull(), F.col(field)).otherwise(done))
+
+    joined = rows.join(dictionaries, key, "left")
+    return joined.withColumns({f"{f}_translated": rewritten(f) for f in fields}).drop("_words")
+
+
+def lexicon_translate(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(id, translated) of (id, lang, text) rows, as `translate_fields` says."""
+    return translate_fields(texts, ["text"], lexicon).select("id", F.col("text_translated").alias("translated"))
 
 
 def route_translation(
@@ -145,20 +231,14 @@ def route_translation(
 
     `languages` is (id, lang) of the bodies; it decides the subject too.
     """
-    routed = emails.join(languages.withColumnRenamed("lang", "_lang"), "id", "left").withColumn(
-        "_foreign", F.col("_lang") != target
-    )
-    out = routed
-    for field in ("body", "subject"):
-        texts = routed.where("_foreign").select(
-            "id", F.col("_lang").alias("lang"), F.col(field).alias("text")
-        )
-        done = lexicon_translate(texts.where(F.col("text").isNotNull()), lexicon)
-        out = out.join(done.withColumnRenamed("translated", f"{field}_translated"), "id", "left")
-        out = out.withColumn(
-            f"{field}_lang", F.when(F.col("_foreign") & F.col(field).isNotNull(), F.col("_lang"))
-        )
-    return out.drop("_lang", "_foreign")
+    fields = ("body", "subject")
+    spoken = languages.select("id", F.when(F.col("lang") != target, F.col("lang")).alias("_lang"))
+    done = translate_fields(emails.join(spoken, "id", "left"), fields, lexicon, "_lang")
+    foreign = F.col("_lang").isNotNull()
+    return done.withColumns(
+        {f"{f}_lang": F.when(foreign & F.col(f).isNotNull(), F.col("_lang")) for f in fields}
+        | {f"{f}_translated": F.when(foreign, F.col(f"{f}_translated")) for f in fields}
+    ).drop("_lang")
 
 
 def translate_attachments(
@@ -168,14 +248,8 @@ def translate_attachments(
     foreign = languages.where(F.col("lang") != target).select(
         F.col("id").alias("guid"), F.col("lang").alias("content_lang")
     )
-    routed = attachments.join(foreign, "guid", "left")
-    texts = routed.where(F.col("content_lang").isNotNull()).select(
-        F.col("guid").alias("id"), F.col("content_lang").alias("lang"), F.col("content").alias("text")
-    )
-    done = lexicon_translate(texts, lexicon).select(
-        F.col("id").alias("guid"), F.col("translated").alias("content_translated")
-    )
-    return routed.join(done, "guid", "left")
+    done = translate_fields(attachments.join(foreign, "guid", "left"), ["content"], lexicon, "content_lang", "guid")
+    return done.withColumn("content_translated", F.when(F.col("content_lang").isNotNull(), F.col("content_translated")))
 
 
 def tokenize_punctuation(text: Column, abbreviations: Sequence[str] = ABBREVIATIONS) -> Column:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailloom.operators import addresses as A
-from mailloom.operators import amounts, attachments, geo, index, language, numbers, terms
+from mailloom.operators import amounts, attachments, entities, geo, index, language, numbers, terms
 from mailloom.operators.normalize import normalize
 from mailloom.plans.ingest import Lookups, enrich
 from mailloom.operators.index import to_schema
@@ -85,7 +85,103 @@ def test_lexicon_translation_cases(spark):
     rows = [("1", "es", "la  Casa\nblanca"), ("2", "es", "  "), ("3", "fr", "la  casa"), ("4", None, "x")]
     texts = spark.createDataFrame(rows, "id string, lang string, text string")
     found = {r.id: r.translated for r in language.lexicon_translate(texts, lexicon).collect()}
-    assert found == {"1": "la house blanca", "2": "", "3": "la  casa", "4": "x"}
+    assert found == {"1": "la  house\nblanca", "2": "", "3": "la  casa", "4": "x"}
+
+
+def test_words_beside_punctuation_are_translated(spark):
+    lexicon = spark.createDataFrame(
+        [("es", "casa", "house"), ("es", "casa", "home"), ("es", "u.s.", "ee"), ("es", "null", None)],
+        "lang string, word string, translation string",
+    )
+    long = "la casa, (casa)\n\n" * 900
+    rows = [("1", "es", "la casa, (casa)\r\n\u00bfCASA?", "casa"), ("2", "es", None, ""), ("3", "es", long, " \n"),
+            ("4", "es", "casas casa-casa u.s., null", None), ("5", None, "casa", "casa")]
+    texts = spark.createDataFrame(rows, "id string, lang string, body string, subject string")
+    done = language.translate_fields(texts, ["body", "subject"], lexicon)
+    found = {r.id: (r.body_translated, r.subject_translated) for r in done.collect()}
+    assert found == {
+        "1": ("la home, (home)\r\n\u00bfhome?", "home"),
+        "2": (None, ""),
+        "3": (long.replace("casa", "home"), ""),
+        "4": ("casas casa-casa ee, null", None),
+        "5": ("casa", "casa"),
+    }
+
+
+def without_broadcast(spark, make):
+    """The plan that large tables get."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan(make())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_translation_joins_the_lexicon_once(spark):
+    docs = fixtures.docs(spark, SF_DIR)
+    lexicon = spark.createDataFrame([("es", "casa", "house")], "lang string, word string, translation string")
+    text = without_broadcast(spark, lambda: language.route_translation(docs.select("id", "body", "subject"), lexicon, docs.select("id", "lang")))
+    lookups = [line for line in text.splitlines() if "SortMergeJoin" in line and "word" in line]
+    assert len(lookups) == 1
+    assert text.count("SortMergeJoin") <= 4
+
+
+def test_language_join_sees_distinct_trigrams(spark):
+    texts = spark.createDataFrame([("1", "abcabcabc"), ("2", None), ("3", "ab"), ("4", "ABC")], "id string, body string")
+    found = {r.id: {g.gram: g.n for g in r.g} for r in texts.select("id", language.gram_counts(F.col("body")).alias("g")).collect()}
+    assert found == {"1": {"abc": 3, "bca": 2, "cab": 2}, "2": {}, "3": {}, "4": {"abc": 1}}
+    profile = language.train_profile(spark.createDataFrame([("en", "the the the"), ("es", "la la la la")], "lang string, body string"), least=3)
+    assert profile.weights.where("gram = 'eth'").count() == 0
+
+
+def test_entities_are_disjoint(spark):
+    phrases = ["New York", "York City", "new york city hall", "City", "one two three four five six seven", "two three", "caf\u00e9 noir", "a"]
+    gazetteer = spark.createDataFrame([(p, "MISC", float(i)) for i, p in enumerate(phrases)], "phrase string, tag string, score double")
+    texts = [
+        ("1", "New York City and York"), ("2", "new York city hall"), ("3", "one two three four"), ("4", "One two three four five six seven."),
+        ("5", "Caf\u00e9 noir"), ("6", None), ("7", ""), ("8", "a " * 3000 + "New York"), ("9", "York City, York City"),
+    ]
+    docs = spark.createDataFrame(texts, "id string, body string")
+    found = {}
+    for r in entities.match_gazetteer(docs, gazetteer).collect():
+        found.setdefault(r.id, []).append((r.start, r.words, r.phrase))
+    found = {k: sorted(v) for k, v in found.items()}
+    long = found.pop("8")
+    assert len(long) == 3001 and long[-1] == (3000, 2, "New York")
+    assert found == {
+        "1": [(0, 2, "New York"), (2, 1, "City")],
+        "2": [(0, 4, "new York city hall")],
+        "3": [(1, 2, "two three")],
+        "4": [(0, 7, "One two three four five six seven")],
+        "5": [(0, 2, "Caf noir")],
+        "9": [(0, 2, "York City"), (2, 2, "York City")],
+    }
+    assert entities.match_gazetteer(docs, gazetteer.limit(0)).count() == 0
+
+
+def test_only_started_phrases_are_spelled(spark):
+    """A phrase of 20 words does not multiply the words of the texts."""
+    long = " ".join(f"w{i}" for i in range(20))
+    gazetteer = spark.createDataFrame([(long, "MISC", 1.0), ("w0 x", "MISC", 1.0)], "phrase string, tag string, score double")
+    body = "other words " * 50 + "w0 other " * 5 + long
+    docs = spark.createDataFrame([(str(i), body) for i in range(10)], "id string, body string")
+    found = entities.match_gazetteer(docs, gazetteer)
+    assert found.count() == 10
+    words, started = 10 * (100 + 10 + 20), 10 * 6
+    rows = []
+
+    def walk(node):
+        node = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node
+        node = node.plan() if node.nodeName().endswith("QueryStage") else node
+        if node.nodeName() == "Generate":
+            rows.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    found.collect()
+    walk(found._jdf.queryExecution().executedPlan())
+    assert rows and sum(rows) <= words + 3 * started
 
 
 def test_attachments_translate_on_their_own_language(spark):

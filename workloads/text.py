@@ -137,41 +137,50 @@ def topic_merge(spark, sf_dir):
 
 # ---- language ---------------------------------------------------------------------------------
 
-LANG_SQL = """train AS (
-    SELECT lang, gram, count(*) AS n FROM (
-      SELECT lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
-      FROM (SELECT lang, string_split(lower(text), '') AS c FROM documents)) GROUP BY lang, gram),
+def lang_sql(half: str = "0") -> str:
+    """Scores of texts (id, body, half) by a profile for each half of the documents."""
+    grams = "list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])"
+    return f"""train AS (
+    SELECT half, lang, gram, count(*) AS n FROM (
+      SELECT half, lang, unnest({grams}) AS gram
+      FROM (SELECT {half} AS half, lang, string_split(lower(text), '') AS c FROM documents)) GROUP BY half, lang, gram),
   floors AS (
-    SELECT lang, CAST(round(-ln(sum(n) + (SELECT count(DISTINCT gram) FROM train)) * 1000000) AS BIGINT) AS floor
-    FROM train GROUP BY lang),
-  weights AS (SELECT lang, gram, CAST(round(ln(n + 1) * 1000000) AS BIGINT) AS weight FROM train),
+    SELECT half, lang, CAST(round(-ln(sum(n) + any_value(size)) * 1000000) AS BIGINT) AS floor
+    FROM train JOIN (SELECT half, count(DISTINCT gram) AS size FROM train GROUP BY half) USING (half) GROUP BY half, lang),
+  weights AS (
+    SELECT half, lang, gram, CAST(round(ln(n + 1) * 1000000) AS BIGINT) AS weight FROM train WHERE n >= {L.LEAST_GRAMS}),
   text_grams AS (
-    SELECT id, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
-    FROM (SELECT id, string_split(lower(body), '') AS c FROM texts)),
-  lengths AS (SELECT id, count(*) AS n FROM text_grams GROUP BY id),
-  sums AS (SELECT id, lang, sum(weight) AS s FROM text_grams JOIN weights USING (gram) GROUP BY id, lang),
+    SELECT id, half, unnest({grams}) AS gram FROM (SELECT id, half, string_split(lower(body), '') AS c FROM texts)),
+  lengths AS (SELECT id, half, count(*) AS n FROM text_grams GROUP BY id, half),
+  sums AS (SELECT id, lang, sum(weight) AS s FROM text_grams JOIN weights USING (half, gram) GROUP BY id, lang),
   scores AS (
     SELECT lengths.id, floors.lang, coalesce(s, 0) + lengths.n * floor AS score, lengths.n AS n
-    FROM lengths CROSS JOIN floors LEFT JOIN sums ON sums.id = lengths.id AND sums.lang = floors.lang),
+    FROM lengths JOIN floors USING (half) LEFT JOIN sums ON sums.id = lengths.id AND sums.lang = floors.lang),
   ordered AS (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS place,
       score - lead(score) OVER (PARTITION BY id ORDER BY score DESC, lang) AS gap FROM scores)"""
 
 
-def _profile(spark, sf_dir):
-    return L.train_profile(docs(spark, sf_dir).select("lang", "body"))
+def _profile(spark, sf_dir, rows="TRUE"):
+    return L.train_profile(docs(spark, sf_dir).where(rows).select("lang", "body"), L.LEAST_GRAMS)
 
 
 @query(
-    f"""WITH texts AS (SELECT 'd' || doc_id AS id, text AS body FROM documents), {LANG_SQL}
+    f"""WITH texts AS (SELECT 'd' || doc_id AS id, text AS body, 1 - doc_id % 2 AS half FROM documents), {lang_sql("doc_id % 2")}
     SELECT texts.id, coalesce(lang, 'en') AS lang FROM texts LEFT JOIN (SELECT * FROM ordered WHERE place = 1) USING (id)"""
 )
 def body_language(spark, sf_dir):
-    return L.detect_language(_bodies(spark, sf_dir), _profile(spark, sf_dir))
+    """Every document is judged by what the other half of the documents teaches."""
+    texts = docs(spark, sf_dir)
+    halves = [
+        L.detect_language(texts.where(f"doc_id % 2 = {1 - half}").select("id", "body"), _profile(spark, sf_dir, f"doc_id % 2 = {half}"))
+        for half in (0, 1)
+    ]
+    return halves[0].unionByName(halves[1])
 
 
 @query(
-    f"""WITH texts AS (SELECT conv_id || '/' || turn AS id, text AS body FROM conversations), {LANG_SQL}
+    f"""WITH texts AS (SELECT conv_id || '/' || turn AS id, text AS body, 0 AS half FROM conversations), {lang_sql()}
     SELECT texts.id, CASE WHEN lang IS NULL OR gap < n * 50000 THEN 'UNKNOWN' ELSE lang END AS lang
     FROM texts LEFT JOIN (SELECT * FROM ordered WHERE place = 1) USING (id)"""
 )
@@ -196,21 +205,45 @@ def _lexicon(spark, sf_dir):
     return checkpointed(common.select("lang", "word", F.reverse("word").alias("translation")))
 
 
-_TOKENS_SQL = """(SELECT id, lang, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS pos
-    FROM (SELECT id, lang, list_filter(string_split_regex({field}, '\\s+'), lambda w: w <> '') AS t FROM docs
-      WHERE lang <> 'en')) tokens"""
+_ABBREVS = ", ".join("('" + a.replace("'", "''") + "')" for a in L.ABBREVIATIONS)
 
 
-def _done(field: str) -> str:
-    return f"""(SELECT tokens.id, string_agg(coalesce(translation, token), ' ' ORDER BY pos) AS translated
-      FROM {_TOKENS_SQL.format(field=field)}
-      LEFT JOIN lexicon ON lexicon.lang = tokens.lang AND lexicon.word = lower(token) GROUP BY tokens.id)"""
+def _peel_sql(words: str) -> str:
+    """Words and their parts, punctuation taken off one character at a time, split at chr(1)."""
+    open_ = r"""length(core) > 1 AND core NOT IN (SELECT a FROM abbrevs)
+        AND (regexp_full_match(right(core, 1), '\p{P}') OR regexp_full_match(left(core, 1), '\p{P}'))"""
+    last = r"regexp_full_match(right(core, 1), '\p{P}')"
+    return f"""abbrevs(a) AS (VALUES {_ABBREVS}),
+    peel AS (
+      SELECT w, w AS core, ''::VARCHAR AS head, ''::VARCHAR AS tail FROM {words}
+      UNION ALL
+      SELECT w,
+        CASE WHEN {last} THEN left(core, -1) ELSE substr(core, 2) END,
+        CASE WHEN {last} THEN head ELSE head || left(core, 1) || chr(1) END,
+        CASE WHEN {last} THEN chr(1) || right(core, 1) || tail ELSE tail END
+      FROM peel WHERE {open_}),
+    finished AS (SELECT w, head || core || tail AS parts FROM peel WHERE NOT ({open_}))"""
+
+
+# a lexicon word is written with punctuation and line breaks around it in most texts
+_PIECES = rf"""pieces AS (
+    SELECT id, lang, field, unnest(p) AS w, unnest(range(1, len(p) + 1)) AS pos
+    FROM (SELECT id, lang, field, regexp_extract_all(text, '\s+|\S+') AS p FROM (
+      SELECT id, lang, 'body' AS field, body AS text FROM docs UNION ALL SELECT id, lang, 'subject', subject FROM docs)
+      WHERE lang <> 'en')),
+  {_peel_sql("(SELECT DISTINCT w FROM pieces)")},
+  parts AS (
+    SELECT id, lang, field, pos, unnest(x) AS part, unnest(range(1, len(x) + 1)) AS place
+    FROM (SELECT *, string_split(parts, chr(1)) AS x FROM pieces JOIN finished USING (w))),
+  done AS (
+    SELECT id, field, string_agg(coalesce(translation, part), '' ORDER BY pos, place) AS text
+    FROM parts LEFT JOIN lexicon ON lexicon.lang = parts.lang AND lexicon.word = lower(part) GROUP BY id, field)"""
 
 
 @query(
-    f"""WITH {DOCS}, {LEXICON}
-    SELECT docs.id, md5(CASE WHEN lang = 'en' THEN body ELSE coalesce(translated, '') END) AS translated
-    FROM docs LEFT JOIN {_done('body')} USING (id)"""
+    f"""WITH RECURSIVE {DOCS}, {LEXICON}, {_PIECES}
+    SELECT docs.id, md5(CASE WHEN lang = 'en' THEN body WHEN trim(body) = '' THEN '' ELSE coalesce(text, body) END) AS translated
+    FROM docs LEFT JOIN (SELECT * FROM done WHERE field = 'body') USING (id)"""
 )
 def lexicon_translation(spark, sf_dir):
     texts = docs(spark, sf_dir).select("id", "lang", F.col("body").alias("text"))
@@ -218,12 +251,12 @@ def lexicon_translation(spark, sf_dir):
 
 
 @query(
-    f"""WITH {DOCS}, {LEXICON}
+    f"""WITH RECURSIVE {DOCS}, {LEXICON}, {_PIECES}
     SELECT docs.id, CASE WHEN lang <> 'en' THEN lang END AS body_lang,
-      CASE WHEN lang <> 'en' THEN md5(coalesce(b.translated, '')) END AS body_translated,
+      CASE WHEN lang <> 'en' THEN md5(CASE WHEN trim(body) = '' THEN '' ELSE coalesce(b.text, body) END) END AS body_translated,
       CASE WHEN lang <> 'en' THEN lang END AS subject_lang,
-      CASE WHEN lang <> 'en' THEN md5(coalesce(s.translated, '')) END AS subject_translated
-    FROM docs LEFT JOIN {_done('body')} b USING (id) LEFT JOIN {_done('subject')} s USING (id)"""
+      CASE WHEN lang <> 'en' THEN md5(CASE WHEN trim(subject) = '' THEN '' ELSE coalesce(s.text, subject) END) END AS subject_translated
+    FROM docs LEFT JOIN done b ON b.id = docs.id AND b.field = 'body' LEFT JOIN done s ON s.id = docs.id AND s.field = 'subject'"""
 )
 def translation_routing(spark, sf_dir):
     texts = docs(spark, sf_dir)
@@ -239,26 +272,10 @@ def translation_routing(spark, sf_dir):
     )
 
 
-_ABBREVS = ", ".join("('" + a.replace("'", "''") + "')" for a in L.ABBREVIATIONS)
-
-
 @query(
-    rf"""WITH RECURSIVE abbrevs(a) AS (VALUES {_ABBREVS}),
-    tokens AS (SELECT doc_id, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS pos
+    rf"""WITH RECURSIVE tokens AS (SELECT doc_id, unnest(t) AS w, unnest(range(1, len(t) + 1)) AS pos
       FROM (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS t FROM documents)),
-    peel AS (
-      SELECT w, w AS core, ''::VARCHAR AS head, ''::VARCHAR AS tail FROM (SELECT DISTINCT w FROM tokens)
-      UNION ALL
-      SELECT w,
-        CASE WHEN regexp_full_match(right(core, 1), '\p{{P}}') THEN left(core, -1) ELSE substr(core, 2) END,
-        CASE WHEN regexp_full_match(right(core, 1), '\p{{P}}') THEN head ELSE head || left(core, 1) || chr(1) END,
-        CASE WHEN regexp_full_match(right(core, 1), '\p{{P}}') THEN chr(1) || right(core, 1) || tail ELSE tail END
-      FROM peel
-      WHERE length(core) > 1 AND core NOT IN (SELECT a FROM abbrevs)
-        AND (regexp_full_match(right(core, 1), '\p{{P}}') OR regexp_full_match(left(core, 1), '\p{{P}}'))),
-    finished AS (SELECT w, head || core || tail AS parts FROM peel
-      WHERE NOT (length(core) > 1 AND core NOT IN (SELECT a FROM abbrevs)
-        AND (regexp_full_match(right(core, 1), '\p{{P}}') OR regexp_full_match(left(core, 1), '\p{{P}}'))))
+    {_peel_sql("(SELECT DISTINCT w FROM tokens)")}
     SELECT 'd' || documents.doc_id AS id, md5(coalesce(joined, '')) AS tokens FROM documents LEFT JOIN (
       SELECT doc_id, string_agg(parts, chr(1) ORDER BY pos) AS joined FROM tokens JOIN finished USING (w) GROUP BY doc_id)
       USING (doc_id)"""
@@ -270,31 +287,48 @@ def punctuation_tokens(spark, sf_dir):
 
 # ---- entities ---------------------------------------------------------------------------------
 
+def _cover(matches: str) -> str:
+    """Disjoint matches of each text, as a reader from left to right takes them."""
+    return f"""SELECT id, lang, unnest(kept, recursive := true) FROM (
+      SELECT id, lang, list_reduce(
+        list({{'start': start, 'words': words, 'phrase': phrase, 'e': e}} ORDER BY start),
+        lambda taken, m: CASE WHEN m.start >= taken.stop
+          THEN {{'stop': m.start + m.words, 'kept': list_append(taken.kept, m)}} ELSE taken END,
+        {{'stop': 0::BIGINT, 'kept': list({{'start': start, 'words': words, 'phrase': phrase, 'e': e}})[1:0]}}).kept AS kept
+      FROM {matches} GROUP BY id, lang)"""
+
+
+def _matched(entries: str) -> str:
+    """The longest of the listed phrases at each word."""
+    return f"""SELECT id, lang, start, words, phrase, e FROM (
+      SELECT id, lang, i - 1 AS start, n AS words, array_to_string(t[i:i + n - 1], ' ') AS phrase, e,
+        row_number() OVER (PARTITION BY id, i ORDER BY n DESC) AS place
+      FROM (SELECT id, lang, t, unnest(range(1, len(t) + 1)) AS i FROM clean) JOIN {entries} ON lower(t[i]) = first_word
+      WHERE lower(array_to_string(t[i:i + n - 1], ' ')) = words_of) WHERE place = 1"""
+
+
 GAZ = f"""{VOCAB}, gaz AS (
     SELECT term AS listed, CASE idx % 4 WHEN 0 THEN 'LOCATION' WHEN 1 THEN 'ORGANIZATION' WHEN 2 THEN 'PERSON'
       ELSE 'MISC' END AS tag, 1.0 / (idx + 1) AS score, idx FROM ranked WHERE idx < 2000
     UNION ALL
     SELECT a.term || ' ' || b.term, 'PERSON', 0.9, 2000 + a.idx FROM ranked a JOIN ranked b ON b.idx = a.idx + 1
-    WHERE a.idx < 200),
+    WHERE a.idx < 200
+    UNION ALL
+    SELECT array_to_string(regexp_extract_all(body, '\\S+')[1 : 1 + doc_id % 20], ' '),
+      CASE doc_id % 2 WHEN 0 THEN 'LOCATION' ELSE 'MISC' END, 0.75, doc_id FROM docs WHERE body IS NOT NULL),
   clean AS (SELECT id, lang, regexp_extract_all(
       replace(regexp_replace(body, '[^\\x00-\\x7F]', ' ', 'g'), '[:newline:]', repeat(' ', 11)), '[A-Za-z0-9]+') AS t FROM docs),
-  runs AS (
-    SELECT id, lang, CAST(i - 1 AS INTEGER) AS start, n AS words, array_to_string(t[i:i + n - 1], ' ') AS phrase
-    FROM (SELECT id, lang, t, unnest(range(1, len(t) + 1)) AS i FROM clean), (VALUES (1), (2), (3)) sizes(n)
-    WHERE i + n - 1 <= len(t)),
   spelled AS (
-    SELECT *, array_to_string(regexp_extract_all(regexp_replace(lower(listed), '[^\\x00-\\x7F]', ' ', 'g'), '[A-Za-z0-9]+'), ' ') AS words_of
-    FROM gaz),
-  known AS (SELECT words_of, max({{'tag': tag, 'score': score}}) AS e FROM spelled WHERE words_of <> '' GROUP BY words_of),
-  matched AS (
-    SELECT id, lang, start, words, phrase, e.tag AS tag, e.score AS score,
-      row_number() OVER (PARTITION BY id, start ORDER BY words DESC) AS place
-    FROM runs JOIN known ON lower(phrase) = words_of),
-  mentions AS (SELECT * FROM matched WHERE place = 1)"""
+    SELECT *, array_to_string(w, ' ') AS words_of, w[1] AS first_word, len(w) AS n FROM (
+      SELECT *, regexp_extract_all(regexp_replace(lower(listed), '[^\\x00-\\x7F]', ' ', 'g'), '[A-Za-z0-9]+') AS w FROM gaz)
+    WHERE len(w) > 0),
+  known AS (SELECT words_of, first_word, n, max({{'tag': tag, 'score': score}}) AS e FROM spelled GROUP BY ALL),
+  matched AS ({_matched('known')}),
+  mentions AS ({_cover('matched')})"""
 
 
 def _gazetteer(spark, sf_dir):
-    """The vocabulary with tags by rank, and pairs of neighbouring ranks as two-word names."""
+    """The vocabulary with tags by rank, pairs of neighbouring ranks, and openings of 1 to 20 words."""
     vocab = _vocab(spark, sf_dir)
     tag = F.element_at(
         F.array(*[F.lit(t) for t in ("LOCATION", "ORGANIZATION", "PERSON", "MISC")]), (F.col("idx") % 4 + 1).cast("int")
@@ -311,10 +345,17 @@ def _gazetteer(spark, sf_dir):
             (F.col("idx") + 2000).alias("idx"),
         )
     )
-    return single.unionByName(pairs)
+    words = F.regexp_extract_all("body", F.lit(r"(?U)\S+"), F.lit(0))
+    openings = docs(spark, sf_dir).where(F.col("body").isNotNull()).select(
+        F.array_join(F.slice(words, F.lit(1), (F.col("doc_id") % 20 + 1).cast("int")), " ").alias("phrase"),
+        F.when(F.col("doc_id") % 2 == 0, F.lit("LOCATION")).otherwise(F.lit("MISC")).alias("tag"),
+        F.lit(0.75).alias("score"),
+        F.col("doc_id").alias("idx"),
+    )
+    return single.unionByName(pairs).unionByName(openings)
 
 
-@query(f"WITH {DOCS}, {GAZ} SELECT id, start, CAST(words AS INTEGER) AS words, phrase, tag, round(score, 6) AS score FROM mentions")
+@query(f"WITH {DOCS}, {GAZ} SELECT id, CAST(start AS INTEGER) AS start, CAST(words AS INTEGER) AS words, phrase, tag, round(score, 6) AS score FROM mentions")
 def gazetteer_matches(spark, sf_dir):
     rows = N.match_gazetteer(_bodies(spark, sf_dir), _gazetteer(spark, sf_dir).drop("idx"))
     return rows.select("id", "start", "words", "phrase", "tag", F.round("score", 6).alias("score"))
@@ -363,14 +404,12 @@ def entity_routing(spark, sf_dir):
 
 @query(
     f"""WITH {DOCS}, {GAZ}, spots AS (
-      SELECT words_of, max({{'preferred': 'p:' || listed, 'lat': idx % 90, 'lon': idx % 180}}) AS e
-      FROM spelled WHERE tag = 'LOCATION' AND words_of <> '' GROUP BY words_of),
-    hits AS (
-      SELECT runs.*, e, row_number() OVER (PARTITION BY id, start ORDER BY words DESC) AS place
-      FROM runs JOIN spots ON lower(phrase) = words_of),
-    places AS (SELECT * FROM hits WHERE place = 1)
+      SELECT words_of, first_word, n, max({{'preferred': 'p:' || listed, 'lat': idx % 90, 'lon': idx % 180}}) AS e
+      FROM spelled WHERE tag = 'LOCATION' GROUP BY ALL),
+    hits AS ({_matched('spots')}),
+    places AS ({_cover('hits')})
     SELECT docs.id, count(start) AS n,
-      coalesce(string_agg(phrase || '@' || e.lat || '/' || e.lon || '=' || e.preferred, ',' ORDER BY start), '') AS locations
+      coalesce(string_agg(phrase || '@' || lat || '/' || lon || '=' || preferred, ',' ORDER BY start), '') AS locations
     FROM docs LEFT JOIN places USING (id) GROUP BY docs.id"""
 )
 def place_mentions(spark, sf_dir):
