@@ -301,10 +301,12 @@ def _cover(matches: str) -> str:
 def _matched(entries: str) -> str:
     """The longest of the listed phrases at each word."""
     return f"""SELECT id, lang, start, words, phrase, e FROM (
-      SELECT id, lang, i - 1 AS start, n AS words, array_to_string(t[i:i + n - 1], ' ') AS phrase, e,
+      SELECT id, lang, i - 1 AS start, n AS words, array_to_string(run[1 : n], ' ') AS phrase, e,
         row_number() OVER (PARTITION BY id, i ORDER BY n DESC) AS place
-      FROM (SELECT id, lang, t, unnest(range(1, len(t) + 1)) AS i FROM clean) JOIN {entries} ON lower(t[i]) = first_word
-      WHERE lower(array_to_string(t[i:i + n - 1], ' ')) = words_of) WHERE place = 1"""
+      FROM (SELECT id, lang, i, t[i : i + longest - 1] AS run
+            FROM (SELECT id, lang, t, longest, unnest(range(1, len(t) + 1)) AS i FROM clean, (SELECT max(n) AS longest FROM {entries})))
+      JOIN {entries} ON lower(run[1]) = first_word AND lower(run[n]) = last_word
+      WHERE lower(array_to_string(run[1 : n], ' ')) = words_of) WHERE place = 1"""
 
 
 GAZ = f"""{VOCAB}, gaz AS (
@@ -319,10 +321,10 @@ GAZ = f"""{VOCAB}, gaz AS (
   clean AS (SELECT id, lang, regexp_extract_all(
       replace(regexp_replace(body, '[^\\x00-\\x7F]', ' ', 'g'), '[:newline:]', repeat(' ', 11)), '[A-Za-z0-9]+') AS t FROM docs),
   spelled AS (
-    SELECT *, array_to_string(w, ' ') AS words_of, w[1] AS first_word, len(w) AS n FROM (
+    SELECT *, array_to_string(w, ' ') AS words_of, w[1] AS first_word, w[-1] AS last_word, len(w) AS n FROM (
       SELECT *, regexp_extract_all(regexp_replace(lower(listed), '[^\\x00-\\x7F]', ' ', 'g'), '[A-Za-z0-9]+') AS w FROM gaz)
     WHERE len(w) > 0),
-  known AS (SELECT words_of, first_word, n, max({{'tag': tag, 'score': score}}) AS e FROM spelled GROUP BY ALL),
+  known AS (SELECT words_of, first_word, last_word, n, max({{'tag': tag, 'score': score}}) AS e FROM spelled GROUP BY ALL),
   matched AS ({_matched('known')}),
   mentions AS ({_cover('matched')})"""
 
@@ -404,7 +406,7 @@ def entity_routing(spark, sf_dir):
 
 @query(
     f"""WITH {DOCS}, {GAZ}, spots AS (
-      SELECT words_of, first_word, n, max({{'preferred': 'p:' || listed, 'lat': idx % 90, 'lon': idx % 180}}) AS e
+      SELECT words_of, first_word, last_word, n, max({{'preferred': 'p:' || listed, 'lat': idx % 90, 'lon': idx % 180}}) AS e
       FROM spelled WHERE tag = 'LOCATION' GROUP BY ALL),
     hits AS ({_matched('spots')}),
     places AS ({_cover('hits')})
