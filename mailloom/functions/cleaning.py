@@ -14,6 +14,7 @@ RULES = {
     "slash": (r"/", "_"),
     "drop_newline": (r"\n", ""),
     "fold_newline": (r"\n", " "),
+    "separate": (r"[\t\n]", ";"),
     "space": (r" ", "_"),
     "ampersand": (r"&", "_"),
 }
@@ -22,6 +23,7 @@ RULES = {
 ID_RULES = ("drop_newline", "non_ascii", "tab")
 REFERENCE_RULES = ("fold_newline", "non_ascii", "tab")
 ASCII_TEXT_RULES = ("non_ascii", "tab", "carriage_return")
+ASCII_LINE_RULES = ("non_ascii", "separate")
 ASCII_FILENAME_RULES = ("non_ascii", "slash", "space", "ampersand")
 
 # fixed values: date layouts tried in order, those with a zone offset first

@@ -103,7 +103,8 @@ def address_history(emails: DataFrame) -> DataFrame:
     """Nested history per address and month: sender[], recepient[], sender_attachments[].
 
     The key is (addr, month), the same for every address, so a busy mailbox is many records of
-    months; undated mail has a null month. Mails and attachments meet in one shuffle.
+    months; undated mail has a null month. Mails and attachments meet in one shuffle. Maps, which have no
+    order, are left out of the attachments' fields.
     """
     mail = F.struct("email_id", "datetime")
     history = participants(emails).select(
@@ -113,7 +114,7 @@ def address_history(emails: DataFrame) -> DataFrame:
         F.when(F.col("type") == "recepient", mail).alias("received"),
     )
     files = sender_attachments(emails)
-    columns = [c for c in files.columns if c != "addr"]
+    columns = [c for c, kind in files.dtypes if c != "addr" and not kind.startswith("map")]
     entries = history.unionByName(
         files.select("addr", "datetime", F.struct(*columns).alias("attachment")),
         allowMissingColumns=True,

@@ -49,6 +49,13 @@ def addresses_with_extension(files: DataFrame, extension: str) -> DataFrame:
     return files.where(F.col("extension") == extension).select("addr").distinct()
 
 
+def files_of_history(history: DataFrame) -> DataFrame:
+    """Row form of the stored `address_history`: (addr, email_id, datetime, attachment fields), what the queries
+    by extension, by address and the export read."""
+    rows = history.select("addr", F.explode("sender_attachments").alias("a"))
+    return rows.select("addr", "a.*")
+
+
 def attachments_of(
     files: DataFrame,
     addr: str | None = None,
@@ -81,6 +88,11 @@ def attachments_of(
     return first(rows, "addr")
 
 
+def with_bodies(files: DataFrame, contents: DataFrame) -> DataFrame:
+    """Chosen attachment rows with their `contents64`, fetched from the store by digest."""
+    return files.join(contents.select("content_hash", "contents64"), "content_hash")
+
+
 def export_rows(found: DataFrame, attachments: DataFrame) -> DataFrame:
     """(addr, guid, filename, datetime, data): the hits with their binaries fetched by guid."""
     data = attachments.select("guid", F.unbase64("contents64").alias("data"))

@@ -150,6 +150,7 @@ def _attachments(message: Message, email_id: str, keep_unnamed: bool) -> list[di
                 "filename": name,
                 "filesize": len(data),
                 "content_type": part.get_content_type(),
+                "charset": part.get_content_charset(),
                 "contents64": base64.b64encode(data).decode("ascii"),
             }
         )
@@ -235,14 +236,22 @@ def normalize(raw: DataFrame, keep_unnamed: bool = False) -> tuple[DataFrame, Da
 
 
 def ascii_variant(emails: DataFrame) -> DataFrame:
-    """Subject, body and file names forced to ASCII."""
-    return emails.withColumns(
-        {
-            "subject": C.clean(F.col("subject"), C.ASCII_TEXT_RULES),
-            "body": C.clean(F.col("body"), C.ASCII_TEXT_RULES),
-            "attachments": F.transform(
-                "attachments",
-                lambda a: a.withField("filename", C.clean(F.lower(a.filename), C.ASCII_FILENAME_RULES)),
-            ),
-        }
-    )
+    """Header lines, addresses, subject, body and file names forced to ASCII.
+
+    Addresses are read anew from the lower-case lines, in which tabs and line feeds separate. Columns that
+    a table lacks are left out.
+    """
+    changes = {
+        "subject": C.clean(F.col("subject"), C.ASCII_TEXT_RULES),
+        "body": C.clean(F.col("body"), C.ASCII_TEXT_RULES),
+        "attachments": F.transform(
+            "attachments",
+            lambda a: a.withField("filename", C.clean(F.lower(a.filename), C.ASCII_FILENAME_RULES)),
+        ),
+    }
+    for field in _ADDRESS_HEADERS:
+        if f"{field}_line" in emails.columns:
+            lines = F.transform(f"{field}_line", lambda s: C.clean(F.lower(s), C.ASCII_LINE_RULES))
+            pieces = F.flatten(F.transform(lines, lambda s: F.split(s, ";")))
+            changes |= {f"{field}_line": lines, field: C.addresses_of(pieces)}
+    return emails.withColumns(changes)

@@ -43,6 +43,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def written(df: DataFrame) -> str:
+    """The path of the rows, written to the checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/mailloom/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing the rows to the checkpoint folder and reading them back.
 
@@ -50,10 +57,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     the real size: a checkpointed frame keeps the estimate of the plan it came from, which after
     some rounds of joins is too large to be of use.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/mailloom/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df))
 
 
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:

@@ -1,21 +1,28 @@
 """Whole-chain run, and the plans that decide whether a job scales."""
 
+import base64
+
 import pytest
 from pyspark.sql import functions as F
 
 from mailloom.operators import addresses as A
-from mailloom.operators import amounts, attachments, entities, geo, index, language, numbers, terms
+from mailloom.operators import amounts, attachments, contents, entities, geo, index, language, numbers, terms
 from mailloom.operators.normalize import normalize
-from mailloom.plans.ingest import Lookups, enrich
+from mailloom.plans.ingest import Lookups, enrich, land
+from mailloom.runtime import checkpointed
 from mailloom.operators.index import to_schema
 from mailloom.sources.records import stamp
 from workloads import fixtures, places
+from workloads.files import page_mail
 from workloads.messages import raw_messages
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def plan(df):
+    """The whole text of the plan, nothing shortened."""
+    for name in ("spark.sql.maxMetadataStringLength", "spark.sql.debug.maxToStringFields", "spark.sql.maxPlanStringLength"):
+        df.sparkSession.conf.set(name, "1000000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -192,26 +199,108 @@ def test_attachments_translate_on_their_own_language(spark):
     assert found == {"g1": ("es", "house"), "g2": (None, None)}
 
 
-def test_whole_chain(spark):
+def chain_mails(spark):
     raw = stamp(raw_messages(spark, SF_DIR), "ingest", "case", "ref", "label", F.lit("x.mbox"), "mbox")
-    emails, _ = normalize(raw, keep_unnamed=True)
-    gazetteer = spark.createDataFrame([("the", "MISC", 1.0, "en")], "phrase string, tag string, score double, lang string")
+    return normalize(raw, keep_unnamed=True)[0]
+
+
+def test_messages_are_parsed_once_and_bodies_do_not_travel(spark):
+    read = attachments.read_attachments(chain_mails(spark))
+    assert plan(read).count("MapInPandas") == 1 and "Exchange" not in plan(read)
+    landed, light = land(chain_mails(spark))
+    assert "MapInPandas" not in plan(landed) + plan(light)
+    assert "contents64" in plan(landed.select("attachments")) and "contents64" not in plan(light.select("attachments"))
+
+
+def test_attachments_are_read_in_the_row_as_by_a_merge(spark):
+    mails = page_mail(spark, SF_DIR)
+    merged = attachments.merge_sidecar(mails, attachments.extract_text(mails))
+    fields = ("guid", "content", "content_length", "content_extracted", "content_encrypted")
+
+    def rows(df):
+        return sorted(map(str, df.select("id", F.explode("attachments").alias("a")).select("id", *(f"a.{c}" for c in fields)).collect()))
+
+    assert rows(attachments.read_attachments(mails)) == rows(merged)
+
+
+@pytest.mark.parametrize("charset, text", [("iso-8859-1", "caf\u00e9 \u00c3\u00a9"), ("windows-1252", "\u20ac \u201cx\u201d"), ("utf-16le", "a\u00e9"), ("x-unknown", "caf\u00e9"), (None, "\u00e9")])
+def test_declared_charsets_are_used(spark, charset, text):
+    data = text.encode(charset if charset and charset != "x-unknown" else "utf-8")
+    row = spark.createDataFrame([(bytearray(data), charset)], "d binary, c string")
+    assert row.select(attachments.decoded(F.col("d"), F.col("c")).alias("t")).first().t == text
+
+
+def test_equal_contents_are_described_once(spark):
+    def mail(i, *texts):
+        return (i, [(f"g{i}{n}", ".txt", "text/plain", base64.b64encode(t.encode()).decode() if t else t) for n, t in enumerate(texts)])
+
+    mails = spark.createDataFrame(
+        [mail("1", "la casa, roja", "the house"), mail("2", "la casa, roja", None), mail("3", "", "la casa, roja")],
+        "id string, attachments array<struct<guid:string,extension:string,content_type:string,contents64:string>>",
+    )
+    read = attachments.read_attachments(mails)
+    texts = contents.distinct_texts(read)
+    assert texts.count() == 2 == contents.content_store(read).count()
+    profile = language.train_profile(spark.createDataFrame([("en", "the house the red house"), ("es", "la casa roja la casa")], "lang string, body string"))
     lexicon = spark.createDataFrame([("es", "casa", "house")], "lang string, word string, translation string")
+    gazetteer = spark.createDataFrame([("house", "LOCATION", 1.0, "en"), ("roja", "MISC", 1.0, "es")], "phrase string, tag string, score double, lang string")
+    described = contents.describe_contents(texts, profile, lexicon, gazetteer)
+    rows = contents.add_descriptions(attachments.to_attachments(read), described).collect()
+    found = {r.guid: (r.content_tika_langid, r.content_lang, r.content_translated, r.entities and r.entities.content_entities.entity_all,
+                      r.entities and r.entities.content_entities_translated and r.entities.content_entities_translated.entity_all) for r in rows}
+    spanish = ("es", "es", "la house, roja", ["roja"], ["house"])
+    nothing = (None,) * 5
+    assert found == {"g10": spanish, "g11": ("en", None, None, ["house"], None), "g20": spanish, "g21": nothing, "g30": nothing, "g31": spanish}
+    bare = contents.describe_contents(texts)
+    assert bare.where("content_tika_langid IS NULL AND content_lang IS NULL").count() == 2
+
+
+def test_whole_chain(spark):
+    emails = chain_mails(spark)
+    gazetteer = spark.createDataFrame([("the", "MISC", 1.0, "en")], "phrase string, tag string, score double, lang string")
+    lexicon = spark.createDataFrame([("es", "casa", "house"), ("es", "de", "of"), ("de", "ein", "a")], "lang string, word string, translation string")
+    labelled = fixtures.docs(spark, SF_DIR).select("lang", F.col("body"))
+    guids = emails.select(F.explode("attachments").alias("a")).select("a.guid").limit(7)
+    tags = guids.selectExpr("guid", "'.jpg' AS extension", "'N' AS latref", "'E' AS lonref", "'0' AS altref", "'1,30,0' AS lat_dms", "'2,0,0' AS lon_dms", "'3' AS alt")
     lookups = Lookups(
-        networks=places.networks(spark), gazetteer=gazetteer, lexicon=lexicon, topic_iterations=2, topic_count=3, vocabulary=100
+        networks=places.networks(spark), gazetteer=gazetteer, lexicon=lexicon, topic_iterations=2, topic_count=3, vocabulary=100,
+        force_language=None, profile=language.train_profile(labelled), image_tags=checkpointed(tags),
     )
     tables = enrich(emails, lookups)
+    for df in (tables.emails, tables.attachments, tables.addresses, tables.address_history):
+        text = plan(df)
+        assert "MapInPandas" not in text and "contents64" not in text
     out = to_schema(tables.emails, "emails").cache()
     assert out.count() == 200
     assert out.where("communities_count > 0").count() == 200
     assert out.where("size(entities.body_entities.entity_all) > 0").count() > 0
     assert out.where("size(topic_scores) = 3").count() > 0
-    assert to_schema(tables.attachments, "attachments").where("content_extracted").count() == 100
+    assert out.where("body_lang = 'es' AND body_translated <> body").count() > 0
+    files = to_schema(tables.attachments, "attachments").cache()
+    assert files.where("content_extracted").count() == 100
+    assert files.where("content_extracted AND content_tika_langid IS NOT NULL").count() == 100
+    assert files.where("content_lang <> 'en' AND content_translated IS NOT NULL").count() > 0
+    assert files.where("size(entities.content_entities.entity_all) > 0").count() > 0
+    assert files.where("exif.gps.coord.lat = 1.5").count() == 7
+    store = to_schema(tables.contents, "contents")
+    assert store.count() == files.select("content_hash").dropna().distinct().count()
+    assert index.with_bodies(files.limit(3), store).where("contents64 IS NOT NULL").count() == 3
+    history = to_schema(tables.address_history, "address_history").cache()
+    stored_files = index.files_of_history(history)
+    assert stored_files.count() == files.count()
+    assert index.addresses_with_extension(stored_files, ".csv").count() == 100
+    assert history.where("size(recepient) > 0").count() > 0
     assert tables.topics.count() == 3
     addresses = to_schema(tables.addresses, "addresses")
     assert addresses.where("community IS NOT NULL AND ingest_id = 'ingest' AND domain <> ''").count() == addresses.count() > 200
 
 
+def test_mails_with_one_id_stop_the_chain(spark):
+    with pytest.raises(ValueError, match="duplicate email id"):
+        emails = chain_mails(spark).limit(20)
+        enrich(emails.unionByName(emails), Lookups(topic_iterations=1, topic_count=2, vocabulary=10))
+
+
 def test_history_takes_one_shuffle(spark):
     text = plan(A.address_history(fixtures.mail(spark, SF_DIR)))
     assert text.count("Exchange hashpartitioning(addr") == text.count("Exchange ") == 1
