@@ -303,15 +303,30 @@ def test_exact_copies_of_lines_of_few_words_are_removed(spark):
     assert found[2].text == "}\n\nshort" and found[3].text == rows[2][1]
 
 
+def test_words_that_share_letters_are_told_apart(spark):
+    """Both changed words of the second line are spelled with the letters of those they stand for."""
+    rows = [(1, "the balance of w12699 rises today"), (2, "the balance of w14139 falls today"),
+            (3, "the balance of w12699 falls today"), (4, "one two three four five six"), (5, "one two three four five")]
+    letters = spark.createDataFrame([("w12699", "w14139")], "a string, b string").select(
+        *(lines.spelled(F.array(F.xxhash64(c))).alias(c) for c in "ab")
+    ).first()
+    assert letters.a == letters.b
+    two = spark.createDataFrame(rows[:2], TEXTS)
+    assert [r.deduped.n_removed for r in lines.dedup_lines(two).collect()] == [0, 0]
+    found = {r.doc_id: r.deduped.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, TEXTS)).collect()}
+    assert found == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
+
+
 def test_words_become_letters(spark):
-    row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.spelled(F.split("t", " ")).alias("x")).first().x
+    hashes = F.transform(F.split("t", " "), lambda w: F.xxhash64(w))
+    row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.spelled(hashes).alias("x")).first().x
     assert len(row) == 6 and row[:2] == row[4:] != row[2:4]
 
 
 def test_simhash_is_the_majority_of_the_words(spark):
     text = "one two three four five six"
     row = spark.createDataFrame([(text, text.split())], "t string, w array<string>")
-    letters = row.select(lines.spelled(F.col("w")).alias("x")).first().x
+    letters = row.select(lines.spelled(F.transform("w", lambda w: F.xxhash64(w))).alias("x")).first().x
     hashes = [r.h % 2**64 for r in spark.createDataFrame([(letters[i : i + 2],) for i in range(0, len(letters), 2)], "w string").select(F.xxhash64("w").alias("h")).collect()]
     want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
     found = lines.simhashes(spark.createDataFrame([(1, letters)] * 3, "line long, letters string")).collect()
