@@ -51,8 +51,16 @@ def ip_key(text: Column) -> Column:
     return F.when(text.contains(":"), six).when(four.isNotNull(), mapped)
 
 
-def prefix_of(key: Column, bits: Column) -> Column:
+DIGITS = "0123456789abcdef"
+
+
+def prefix_of(key: Column, bits: Column | int) -> Column:
     """The first bits of a key: whole digits, and the last one with its other bits cleared."""
+    if isinstance(bits, int):
+        step = 16 >> bits % 4
+        cleared = "".join(DIGITS[n - n % step] for n in range(16))
+        last = F.translate(F.substring(key, bits // 4 + 1, 1), DIGITS, cleared)
+        return F.substring(key, 1, bits // 4) if bits % 4 == 0 else F.concat(F.substring(key, 1, bits // 4), last)
     whole = F.floor(bits / 4).cast("int")
     rest = bits % 4
     digit = F.conv(F.substring(key, whole + 1, F.lit(1)), 16, 10).cast("int")
@@ -120,7 +128,7 @@ def locate(addresses: DataFrame, nets: DataFrame) -> DataFrame:
     lengths = sorted(r.bits for r in known.select("bits").distinct().collect())
     if not lengths:
         lengths = [0]
-    spelled = F.array(*(F.struct(F.lit(n).alias("bits"), prefix_of(F.col("key"), F.lit(n)).alias("prefix")) for n in lengths))
+    spelled = F.array(*(F.struct(F.lit(n).alias("bits"), prefix_of(F.col("key"), n).alias("prefix")) for n in lengths))
     asked = addresses.select("key").where(F.col("key").isNotNull()).distinct().select("key", F.explode(spelled).alias("p")).select("key", "p.*")
     innermost = asked.join(known, ["bits", "prefix"]).groupBy("key").agg(F.max_by("entry", "bits").alias("entry"))
     located = innermost.select("key", "entry.*").where((F.col("lat") != 0) & (F.col("lon") != 0))
