@@ -24,7 +24,7 @@ class Lookups:
     networks: DataFrame | None = None
     gazetteer: DataFrame | None = None
     lexicon: DataFrame | None = None
-    phone_plan: Sequence[dict] | None = None
+    phone_plan: numbers.Plan | None = None
     image_sidecars: Sequence[DataFrame] = field(default_factory=tuple)
     #: tags of images by guid, as `attachments.gps_from_tags` reads them
     image_tags: DataFrame | None = None

@@ -75,6 +75,23 @@ def test_phones(spark):
     assert [p[1] for p in phones(spark, text, plan)] == [13, 61, 85]
 
 
+def test_a_plan_table_decides_by_its_longest_prefix(spark):
+    plan = spark.createDataFrame(
+        [("4", 5, 6, "four", None), ("44123456", 9, 9, "long", "A"), ("44123456", 9, 9, "long", None), ("441", 8, 8, None, None), ("", 1, 15, "none", None)],
+        "prefix string, min_len int, max_len int, area string, carrier string",
+    )
+    texts = [("1", "44123456"), ("2", "441234567"), ("3", "44123"), ("4", None), ("5", "441234567 x 441999999 x 44123456"), ("6", "9912345678")]
+    docs = spark.createDataFrame(texts, "id string, body string")
+    rows, entries = numbers.with_plan(docs, F.array("body"), plan)
+    found = {r.id: r.n and [(n.normalized, n.possible_area, n.possible_carrier) for n in r.n] for r in rows.select("id", numbers.find_phones(F.col("body"), entries).alias("n")).collect()}
+    long = ("441234567", "Possible area: long. ", "Possible carrier: A.")
+    assert found == {"1": [], "2": [long], "3": [], "4": None, "5": [long], "6": []}
+    listed = [r.asDict() for r in plan.where("prefix <> ''").dropDuplicates(["prefix"]).collect()]
+    assert numbers.add_phones(docs, ("body",), plan).columns == ["id", "body", "phone_numbers"]
+    assert sorted(map(str, numbers.add_phones(docs, ("body",), listed).collect())) == sorted(map(str, numbers.add_phones(docs, ("body",), plan).collect()))
+    assert numbers.add_numbers(docs.withColumn("attachments", F.array(F.struct(F.col("body").alias("content")))), plan, True).where("id = '2' AND size(numbers) = 2").count() == 1
+
+
 def test_longest_prefix_of_the_plan_decides(spark):
     plan = [
         {"prefix": "4", "min_len": 7, "max_len": 15, "area": "wide"},

@@ -48,17 +48,43 @@ def hits_sql(source: str, text: str, pattern: str, context: int = 50) -> str:
 
 EXCERPT_SQL = r"""regexp_replace(regexp_replace(before || value || after, '\r+', '', 'g'), '[ \t\n\f\x0B]+', ' ', 'g')"""
 
-PHONES_SQL = f"""{hits_sql('docs', 'body', numbers.PHONE_PATTERN)},
-  plan(prefix, min_len, max_len, area, carrier) AS (VALUES {_PLAN_ROWS}),
+_SMALL_PLAN = f"plan(prefix, min_len, max_len, area, carrier) AS (VALUES {_PLAN_ROWS})"
+
+# a hundred thousand rows, some of them repeated, with prefixes of one to eight digits
+_LARGE_PLAN = """plan AS (
+    SELECT DISTINCT prefix, 7 + length(prefix) % 3 AS min_len, 12 AS max_len, 'Area ' || prefix AS area,
+      CASE WHEN length(prefix) > 2 THEN 'Carrier ' || right(prefix, 1) END AS carrier
+    FROM (SELECT substr(lpad((i * 48271 % 100000000)::VARCHAR, 8, '0'), 1, CAST(1 + i % 8 AS BIGINT)) AS prefix FROM range(100000) t(i)))"""
+
+
+def large_plan(spark):
+    digits = F.lpad((F.col("id") * 48271 % 100_000_000).cast("string"), 8, "0")
+    prefix = F.substring(digits, F.lit(1), (F.col("id") % 8 + 1).cast("int"))
+    return spark.range(100_000).select(prefix.alias("prefix")).select(
+        "prefix",
+        (7 + F.length("prefix") % 3).alias("min_len"),
+        F.lit(12).alias("max_len"),
+        F.concat(F.lit("Area "), "prefix").alias("area"),
+        F.when(F.length("prefix") > 2, F.concat(F.lit("Carrier "), F.right("prefix", F.lit(1)))).alias("carrier"),
+    )
+
+
+def phones_sql(plan: str = _SMALL_PLAN) -> str:
+    return f"""{hits_sql('docs', 'body', numbers.PHONE_PATTERN)},
+  {plan},
   digits AS (SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS normalized FROM hits),
   best AS (SELECT id, s, arg_max(plan, length(prefix)) AS p
-    FROM digits JOIN plan ON starts_with(normalized, prefix) GROUP BY id, s),
+    FROM digits, range(1, 9) lengths(n) JOIN plan ON length(normalized) >= n AND prefix = substr(normalized, 1, CAST(n AS BIGINT))
+    GROUP BY id, s),
   phones AS (
     SELECT d.*, p.area AS area, p.carrier AS carrier
     FROM digits d LEFT JOIN best USING (id, s)
     WHERE length(normalized) >= 7 AND (coalesce(length(normalized) BETWEEN p.min_len AND p.max_len, FALSE)
       OR regexp_matches(lower(right(before, 15)), '{"|".join(numbers.PHONE_WORDS)}')))"""
 
+
+PHONES_SQL = phones_sql()
+
 # the same amounts, in a dialect without possessive repeats
 AMOUNT_SQL = amounts.AMOUNT_PATTERN.replace("*+", "*")
 
@@ -70,14 +96,15 @@ def _flat(df, found):
 
 
 @query(
-    f"""WITH {DOCS}, {PHONES_SQL}
+    f"""WITH {DOCS}, {phones_sql(_LARGE_PLAN)}
     SELECT id, value, normalized, {EXCERPT_SQL} AS excerpt, s AS offset_start, e AS offset_end,
       length(before) AS excerpt_value_start, length(after) AS excerpt_value_stop,
       'Possible area: ' || area || '. ' AS possible_area, 'Possible carrier: ' || carrier || '.' AS possible_carrier
     FROM phones"""
 )
 def phone_numbers(spark, sf_dir):
-    return _flat(docs(spark, sf_dir), numbers.find_phones(F.col("body"), PLAN)).drop("type")
+    rows, entries = numbers.with_plan(docs(spark, sf_dir), F.array("body"), large_plan(spark))
+    return _flat(rows, numbers.find_phones(F.col("body"), entries)).drop("type")
 
 
 @query(
@@ -126,7 +153,17 @@ def model_numbers(spark, sf_dir):
 
 @query(
     f"""WITH {DOCS}, {PHONES_SQL}, {hits_sql('docs', 'body', CARD_SQL).replace('found', 'cfound').replace('placed', 'cplaced').replace('hits', 'chits')},
+    lines AS (
+      SELECT id, unnest(string_split(body, chr(10))) AS value,
+        unnest(list_transform(range(1, len(string_split(body, chr(10))) + 1), lambda i:
+          coalesce(list_sum(list_transform(string_split(body, chr(10))[1:i - 1], lambda x: length(x) + 1)), 0))) AS s
+      FROM docs),
+    models AS (
+      SELECT id, value, CAST(s AS BIGINT) AS s, CAST(s + length(value) AS BIGINT) AS e FROM lines
+      WHERE regexp_full_match(value, '[a-zA-Z0-9\\/:#-]+') AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-zA-Z]')),
     all_numbers AS (
+      SELECT id, 3 AS kind, 'model_number' AS type, s, e, value AS normalized FROM models
+      UNION ALL
       SELECT id, 1 AS kind, 'phone_number' AS type, s, e, normalized FROM phones
       UNION ALL
       SELECT id, 2, 'credit_card_number', s, e, regexp_replace(value, '[^0-9]', '', 'g') FROM chits)
