@@ -172,6 +172,39 @@ def test_index_tables(spark, folder):
     assert subjects() == {"1": "new", "2": "keep", "3": "add", "9": "other"}
 
 
+def test_only_touched_buckets_are_written_again(spark, folder):
+    root = str(folder / "index")
+    sinks.write_index(_emails(spark, [(str(i), "old", "ab"[i % 2]) for i in range(400)]), root, "emails")
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (folder / "index" / "emails").rglob("*.parquet")}
+
+    before = files()
+    sinks.write_index(_emails(spark, [("2", "new", "a"), ("4", "new", "a"), ("new", "new", "a")]), root, "emails")
+    after = files()
+    buckets = {p.parent for p in before} - {p.parent for p in before if after.get(p) == before[p]}
+    assert 1 <= len(buckets) <= 3 and all("ingest_id=a" in str(b) for b in buckets)
+    rows = {(r.ingest_id, r.id): r.subject for r in sinks.read_index(spark, root, "emails").collect()}
+    assert len(rows) == 401 and {k for k, v in rows.items() if v == "new"} == {("a", "2"), ("a", "4"), ("a", "new")}
+
+
+def test_versions_decide_between_rows_of_an_id(spark, folder):
+    root = str(folder / "index")
+
+    def load(*rows):
+        df = spark.createDataFrame(rows, "id string, subject string, ingest_id string, revision int").repartition(3)
+        sinks.write_index(df, root, "emails", F.col("revision"))
+        found = sinks.read_index(spark, root, "emails")
+        assert "revision" not in found.columns and "_version" not in found.columns
+        return {(r.ingest_id, r.id): r.subject for r in found.collect()}
+
+    assert load(("1", "one", "a", 1), ("1", "two", "a", 2), ("1", "other", "b", 0), ("2", "x", None, None)) == {
+        ("a", "1"): "two", ("b", "1"): "other", (None, "2"): "x"}
+    assert load(("1", "late", "a", 1), ("1", "equal", "b", 0), ("2", "y", None, None)) == {
+        ("a", "1"): "two", ("b", "1"): "equal", (None, "2"): "y"}
+    assert load(("1", "b", "a", 3), ("1", "a", "a", 3))[("a", "1")] == "b"
+
+
 def test_index_reads_one_dataset_by_its_folder(spark, folder):
     root = str(folder / "index")
     sinks.write_index(_emails(spark, [("1", "x", "a"), ("2", "y", "b")]), root, "emails")

@@ -8,6 +8,7 @@ from mailloom import schemas
 from mailloom.functions import cleaning as C
 from mailloom.operators import addresses as A
 from mailloom.operators import index as X
+from mailloom.sources.sinks import merge_rows
 
 from .fixtures import EDGES, MAIL, at, mail, table
 from .registry import query
@@ -38,6 +39,29 @@ def latest_by_id(spark, sf_dir):
     return X.latest_by_id(rows, "id", F.col("v")).drop("v")
 
 
+@query(
+    """WITH stored AS (SELECT doc_id AS id, CASE WHEN doc_id % 7 <> 0 THEN doc_id % 10 END AS version, 'old ' || md5(text) AS value, 0 AS new FROM documents),
+    incoming AS (
+      SELECT doc_id + k AS id, CASE WHEN doc_id % 5 <> 0 THEN (doc_id + 3 * k) % 11 END AS version, 'new ' || k || md5(text) AS value, 1 AS new
+      FROM documents, range(0, 3) copies(k) WHERE doc_id % 3 <> 1)
+    SELECT id, version, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY version IS NOT NULL DESC, version DESC, new DESC, value DESC) AS place
+      FROM (SELECT * FROM stored UNION ALL SELECT * FROM incoming)) WHERE place = 1"""
+)
+def index_merge(spark, sf_dir):
+    """Several rows of an id on both sides, with higher, lower, equal and missing versions."""
+    docs = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    stored = docs.select(i.alias("id"), F.when(i % 7 != 0, i % 10).alias("version"), F.concat(F.lit("old "), F.md5("text")).alias("value"))
+    copies = docs.where(i % 3 != 1).select(i, "text", F.explode(F.array(*(F.lit(k) for k in range(3)))).alias("k"))
+    incoming = copies.select(
+        (i + F.col("k")).alias("id"),
+        F.when(i % 5 != 0, (i + 3 * F.col("k")) % 11).alias("version"),
+        F.concat(F.lit("new "), F.col("k").cast("string"), F.md5("text")).alias("value"),
+    )
+    return merge_rows(stored, incoming, ["id"], "version")
+
+
 @query(
     f"""WITH {MAIL} SELECT id, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS sent_at, array_to_string(senders, ',') AS senders,
       CAST(NULL AS VARCHAR) AS subject, {len(schemas.EMAIL_INDEX.fields)} AS n_columns FROM mail"""
