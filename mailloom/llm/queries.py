@@ -295,7 +295,7 @@ WITH v AS MATERIALIZED (
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
     SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
-    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+    FROM (SELECT DISTINCT * FROM v) a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
@@ -461,9 +461,11 @@ placed AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
 judged AS (
     SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
-           NOT regexp_matches(text, '[^ 	-]') AS blank,
+           NOT regexp_matches(text, '[^ 	-
+]') AS blank,
            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
-           NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut FROM placed),
+           NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut FROM placed),
 rows_ AS MATERIALIZED (
     SELECT *, blank OR again AS gone, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM judged),
 counts AS (

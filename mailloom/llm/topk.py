@@ -112,14 +112,18 @@ def top_k(
     """(query_id, rank, vec_id, score): the k candidates of highest score for each query, ties to the smaller id.
 
     Candidates are all rows with another id than the query's. Vectors that are null, empty or hold a
-    null or non-finite component, and rows without an id, take no part. Rows repeated with id and
-    vector count once. Only vectors of the same number of components meet.
+    null or non-finite component, and rows without an id, take no part. A row repeated with id and vector is as many
+    candidates but one query; of its copies the k that can be ranked are kept. Only vectors of the same number of
+    components meet.
     """
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     rows = stored(
         vectors.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector), scale).alias("v"), is_query.alias("asks"))
         .dropna(subset=["id", "v"])
-        .distinct()
+        .groupBy("id", "v", "asks")
+        .agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .drop("copies")
         .withColumn("length", length)
         .withColumn("dim", F.size("v"))
         .withColumn("class", F.when(F.col("length") >= 1, F.floor(F.log("length") / -math.log(LENGTH_STEP))).otherwise(-1))
@@ -151,7 +155,7 @@ def top_k(
         [(dim, f"{dim}/{cls}/{part}", most, part == 0 and cls == longest[dim][1]) for dim, cls, parts, most in buckets for part in range(parts)],
         "dim int, bucket string, most double, first boolean",
     )
-    queries = placed.where("asks").select("dim", "id", "v", "length", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).alias("block"))
+    queries = placed.where("asks AND copy = 1").select("dim", "id", "v", "length", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).alias("block"))
     candidates = placed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
 
     def found(asked: DataFrame) -> DataFrame:

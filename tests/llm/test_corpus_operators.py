@@ -372,13 +372,14 @@ def test_secrets(spark):
 
 
 def plain_top(rows, k):
-    vectors = {}
+    vectors, candidates = {}, []
     for i, v in rows:
         if i is not None and v and all(x is not None and abs(x) < float("inf") for x in v):
             vectors[i] = [int(256 * x // 1) for x in v]
+            candidates.append((i, vectors[i]))
     out = []
     for q in (i for i in vectors if i % 50 == 0):
-        scores = [(-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q])]
+        scores = [(-sum(a * b for a, b in zip(vectors[q], v, strict=True)), i) for i, v in candidates if i != q and len(v) == len(vectors[q])]
         out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
@@ -396,7 +397,8 @@ def test_top_k(spark, monkeypatch, spread):
     same = vector()
     rows += [(i, same) for i in range(400, 460)] + [(500, [3 * x for x in same]), (550, [1.0, 2.0]), (551, [0.0, 0.0]), (600, [])]
     rows += [(650, None), (651, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (700, [float("nan")] * 6), (701, [float("inf")] * 6), (None, same)]
-    rows.append(rows[0])
+    # repeated rows are candidates each: two of a query, three and seven of rows that score high
+    rows += [rows[0], *([rows[460]] * 2), *([(501, [4 * x for x in same])] * 7)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("bucket", F.lit("own"))
     found = topk.top_k(vectors, F.col("vec_id") % 50 == 0)
     assert sorted(tuple(r) for r in found.collect()) == plain_top(rows, 5)
