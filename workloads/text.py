@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mailloom.operators import entities as N
@@ -119,6 +120,40 @@ def document_topics(spark, sf_dir):
     return scores.select("id", F.posexplode("scores").alias("topic", "score"))
 
 
+@query(
+    f"""{BASE}, scored AS (SELECT count(DISTINCT id) AS n FROM terms JOIN vocab USING (term))
+    SELECT 'topics' AS what, {P.TOPICS} AS n FROM scored UNION ALL SELECT 'terms of topics', {P.TOPICS * P.TERMS_PER_TOPIC} FROM scored
+    UNION ALL SELECT 'terms of topics in the vocabulary', {P.TOPICS * P.TERMS_PER_TOPIC} FROM scored
+    UNION ALL SELECT 'terms out of order', 0 FROM scored
+    UNION ALL SELECT 'documents with scores', n FROM scored UNION ALL SELECT 'documents whose scores sum to 1', n FROM scored
+    UNION ALL SELECT 'scores outside 0 to 1', 0 FROM scored UNION ALL SELECT 'documents without a score for each topic', 0 FROM scored"""
+)
+def topic_invariants(spark, sf_dir):
+    """What holds for any topics of these documents, counted over all topics and all document scores."""
+    model, vectors, vocab = _lda(spark, sf_dir)
+    described = P.describe_topics(model, vocab)
+    above = F.lag("score").over(Window.partitionBy("topic").orderBy("position"))
+    terms = described.withColumn("above", above).agg(
+        F.count_distinct("topic").alias("topics"),
+        F.count(F.lit(1)).alias("terms of topics"),
+        F.count_if(F.col("term").isNotNull()).alias("terms of topics in the vocabulary"),
+        F.count_if(F.col("score") > F.col("above")).alias("terms out of order"),
+    )
+    scores = P.doc_topics(model, vectors)
+    total = F.aggregate("scores", F.lit(0.0), lambda t, s: t + s)
+    docs_ = scores.agg(
+        F.count(F.lit(1)).alias("documents with scores"),
+        F.count_if(F.abs(total - 1) <= 10 * 10.0**-P.SCORE_DECIMALS).alias("documents whose scores sum to 1"),
+        F.coalesce(F.sum(F.size(F.filter("scores", lambda s: ~s.between(0.0, 1.0)))), F.lit(0)).alias("scores outside 0 to 1"),
+        F.count_if(F.size("scores") != P.TOPICS).alias("documents without a score for each topic"),
+    )
+
+    def rows(one):
+        return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("what"), F.col(c).cast("bigint").alias("n")) for c in one.columns))))
+
+    return rows(terms).unionByName(rows(docs_))
+
+
 @query(
     """SELECT 'd' || doc_id AS id, CASE WHEN i IS NOT NULL THEN 'idx_' || (i - 1) END AS topic,
       round(CAST(embedding[i] AS DOUBLE), 5) AS score
