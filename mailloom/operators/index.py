@@ -76,16 +76,34 @@ def attachments_of(
         rows = rows.where(F.col("datetime").between(*[F.lit(d).cast("timestamp") for d in dates]))
     if limit is None:
         return rows
+    if limit >= _WINDOW_LIMIT:
+        rows = below_bound(rows, limit)
+    return _first(rows, limit, "addr").drop("_place")
+
+
+def _first(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
     order = (F.col("datetime").asc_nulls_last(), "guid")
+    place = F.row_number().over(W.Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("_place", place).where(F.col("_place") <= limit)
 
-    def first(df: DataFrame, *keys: str) -> DataFrame:
-        place = F.row_number().over(W.Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
 
-    if limit >= _WINDOW_LIMIT:
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64("guid"), F.lit(_SALTS)))
-        rows = first(salted, "addr", "_salt").drop("_salt")
-    return first(rows, "addr")
+def below_bound(rows: DataFrame, limit: int) -> DataFrame:
+    """Rows that may be among the first `limit` of their address: about twice as many, however many it has.
+
+    Each address is cut into slices, and each slice keeps its first `limit` rows. Every `step`-th row of a
+    slice says that `step` rows are not above it, so enough of these, in order, bound the last row asked
+    for. Rows above the bound are dropped in their slices, before the slices meet.
+    """
+    step = max(1, limit // _SALTS)
+    key = F.struct(F.col("datetime").isNull(), "datetime", "guid")
+    sliced = _first(rows.withColumn("_salt", F.pmod(F.xxhash64("guid"), F.lit(_SALTS)).cast("int")), limit, "addr", "_salt")
+    marks = sliced.where(F.col("_place") % step == 0).select("addr", key.alias("_bound"))
+    counted = marks.withColumn("_rows", F.row_number().over(W.Window.partitionBy("addr").orderBy("_bound")) * step)
+    bounds = counted.where(F.col("_rows") >= limit).groupBy("addr").agg(F.min("_bound").alias("_bound"))
+    # a bound for each slice: rows are already dealt out by address and slice
+    spread = bounds.select("addr", "_bound", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
+    kept = sliced.join(spread, ["addr", "_salt"], "left").where(F.col("_bound").isNull() | (key <= F.col("_bound")))
+    return kept.drop("_salt", "_place", "_bound")
 
 
 def with_bodies(files: DataFrame, contents: DataFrame) -> DataFrame:

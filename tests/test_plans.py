@@ -50,6 +50,25 @@ def test_first_rows_per_address_are_limited_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_few_rows_of_a_busy_address_meet(spark):
+    """Of 200,000 attachments of one address about twice as many as asked for reach its last window."""
+    hot = spark.range(200_000).select(
+        F.lit("hot@x").alias("addr"),
+        F.when(F.col("id") % 50 != 0, F.timestamp_seconds(F.col("id") * 7919 % 100_003)).alias("datetime"),
+        F.md5(F.col("id").cast("string")).alias("guid"),
+    )
+    small = spark.range(30).select(F.lit("calm@x").alias("addr"), F.lit(None).cast("timestamp").alias("datetime"), F.col("id").cast("string").alias("guid"))
+    files = hot.unionByName(small)
+    meet = index.below_bound(files, 2000)
+    assert meet.columns == files.columns
+    counts = {r.addr: r["count"] for r in meet.groupBy("addr").count().collect()}
+    assert counts["calm@x"] == 30 and 2000 <= counts["hot@x"] <= 2 * 2000 + 512
+    found = index.attachments_of(files.withColumn("extension", F.lit(".x")), addr="hot@x", limit=2000)
+    want = hot.orderBy(F.col("datetime").asc_nulls_last(), "guid").limit(2000)
+    assert {r.guid for r in found.collect()} == {r.guid for r in want.collect()}
+    assert index.attachments_of(files.withColumn("extension", F.lit(".x")), limit=300_000).count() == 200_030
+
+
 def test_vocabulary_is_a_top_k(spark):
     docs = fixtures.docs(spark, SF_DIR).select("id", "body")
     assert "TakeOrderedAndProject" in plan(terms.vocabulary(docs))
