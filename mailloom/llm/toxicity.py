@@ -3,8 +3,8 @@
 Grades are ordered: 0 clean, 1 toxic, 2 severe. P(grade <= k) = sigmoid(threshold_k - weights . x),
 with one weight per word for all thresholds; the expected grade is the sum of P(grade > k).
 
-Words and their beginnings are counted over all labelled rows. The `VOCABULARY` of them whose share of toxic rows differs
-most surely from their share of clean ones become features, present or absent in a text. Labels say
+Words and their beginnings are counted over all labelled rows. All of them whose share of toxic rows surely differs
+from their share of clean ones become features, present or absent in a text. Labels say
 only toxic or not; among toxic rows those with at least as many of the telling words per row as their median
 are severe. The regression is fitted on at most about `TRAINING_ROWS` labelled rows, chosen by a hash of
 the id; below that bound all are used.
@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailloom.llm.shared import broadcast_if_small
+from mailloom.runtime import bounded_rows
 
 WORD = re.compile(r"[^\W\d_]+")
-VOCABULARY = 2000
+#: features that a driver can hold; more are an error, never a cut
+MOST_FEATURES = 1_000_000
 TRAINING_ROWS = 20_000
 #: rows a word must be in, and its least log-likelihood ratio (16: four standard errors)
 LEAST_ROWS, SURE = 3, 16.0
@@ -107,8 +109,8 @@ def word_rows(rows: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def telling_words(rows: DataFrame, limit: int = VOCABULARY) -> list[tuple[str, float]]:
-    """At most `limit` words and their log-likelihood ratios, positive for toxic, the largest first."""
+def telling_words(rows: DataFrame) -> list[tuple[str, float]]:
+    """Every word and beginning that is sure enough, and its log-likelihood ratio, positive for toxic, the largest first."""
     totals = {bool(r[0]): r[1] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
     if not n_toxic or not n_clean:
@@ -126,8 +128,8 @@ def telling_words(rows: DataFrame, limit: int = VOCABULARY) -> list[tuple[str, f
     )
     sign = F.when(F.col("toxic") * n_clean > F.col("clean") * n_toxic, 1.0).otherwise(-1.0)
     found = word_rows(rows).where(has >= LEAST_ROWS).select("word", (sign * ratio).alias("sure"))
-    best = found.where(F.abs("sure") >= SURE).orderBy(F.desc(F.abs("sure")), "word").limit(limit)
-    return [(r.word, r.sure) for r in best.collect()]
+    best = bounded_rows(found.where(F.abs("sure") >= SURE), MOST_FEATURES, "the words that tell toxic texts")
+    return sorted(((r.word, r.sure) for r in best), key=lambda x: (-abs(x[1]), x[0]))
 
 
 def cumulative_link(at: list[np.ndarray], grade: np.ndarray, features: int) -> tuple[np.ndarray, np.ndarray]:

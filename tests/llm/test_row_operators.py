@@ -184,6 +184,81 @@ def test_known_toxic_documents_are_found(spark):
     assert counts.get((0, True), 0) <= 0.05 * counts[(0, False)]
 
 
+def labelled_texts(seed=5, rows=160):
+    dice = random.Random(seed)
+    bad = [f"vile{chr(97 + i)}" for i in range(6)]
+    texts = []
+    for i in range(rows):
+        toxic = i % 3 == 0
+        own = dice.sample(bad, dice.randint(1, 4)) if toxic else dice.sample(bad, 1) * (dice.random() < 0.05)
+        texts.append((i, " ".join([*own, *(f"word{chr(97 + dice.randrange(20))}" for _ in range(8))]), int(toxic)))
+    return texts + [texts[0], (None, "vilea", 1), (998, None, 1), (999, "vilea", None)]
+
+
+def test_features_are_all_sure_words(spark):
+    """Against ratios of whole contingency tables, spelled out; no feature is cut for their number."""
+    texts = [t for t in labelled_texts() if None not in t]
+    many = [(1000 + i, " ".join(f"x{chr(97 + j // 26 % 26)}{chr(97 + j % 26)}{chr(97 + j // 676)}" for j in range(2500)), i % 2) for i in range(0, 40, 2)]
+    many += [(2000 + i, "clean words only", 0) for i in range(40)]
+    many = [(i, t, int(t.startswith("x"))) for i, t, _ in many]
+    for rows, least in ((texts, 6), (many, 2501)):
+        frame = spark.createDataFrame([(bool(x), t) for _, t, x in rows], "toxic boolean, text string").repartition(3)
+        found = dict(toxicity.telling_words(frame))
+        counts = {}
+        for _, t, x in rows:
+            for f in toxicity.features_of(toxicity.words_of(t)):
+                counts.setdefault(f, [0, 0])[x] += 1
+        totals = [sum(1 for r in rows if r[2] == x) for x in (0, 1)]
+        want = {}
+        for f, seen in counts.items():
+            cells = [(seen[x], totals[x], sum(seen)) for x in (0, 1)] + [(totals[x] - seen[x], totals[x], sum(totals) - sum(seen)) for x in (0, 1)]
+            ratio = 2 * sum(o * math.log(o * sum(totals) / (a * b)) for o, a, b in cells if o)
+            if sum(seen) >= toxicity.LEAST_ROWS and ratio >= toxicity.SURE:
+                want[f] = ratio if seen[1] * totals[0] > seen[0] * totals[1] else -ratio
+        assert len(want) >= least and found.keys() == want.keys()
+        assert all(math.isclose(found[f], want[f], rel_tol=1e-9) for f in want)
+
+
+def test_the_fit_is_the_most_likely_one(spark):
+    """No small change of weights or thresholds makes the training grades more likely, but for a hundredth of what the
+    fit gains over no weights at all: it takes a fixed number of gradient steps."""
+    rows = labelled_texts()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").withColumn("toxic", F.lit("own"))
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    sure = dict(toxicity.telling_words(spark.createDataFrame([(bool(r[2]), r[1]) for r in rows if None not in r], "toxic boolean, text string")))
+    assert set(model.words) == set(sure)
+    known = [(toxicity.features_of(toxicity.words_of(t)) & set(model.words), x) for i, t, x in rows if None not in (i, t, x)]
+    strength = [sum(sure[f] > 0 for f in fs) for fs, _ in known]
+    middle = max(1.0, float(np.median([n for n, (_, x) in zip(strength, known) if x])))
+    grades = [x + (x and n >= middle) for n, (_, x) in zip(strength, known)]
+
+    def likelihood(weights, thresholds):
+        total = -toxicity.RIDGE / 2 * float((weights**2).sum())
+        for (fs, _), grade in zip(known, grades):
+            score = sum(weights[model.words[f]] for f in fs)
+            above = [1.0, *(1 / (1 + math.exp(min(30, max(-30, t - score)))) for t in thresholds), 0.0]
+            total += math.log(max(above[grade] - above[grade + 1], 1e-12))
+        return total
+
+    dice = np.random.default_rng(3)
+    best = likelihood(model.weights, model.thresholds)
+    shares = [sum(g > k for g in grades) / len(grades) for k in (0, 1)]
+    gained = best - likelihood(np.zeros(len(model.weights)), [math.log(1 / s - 1) for s in shares])
+    assert gained > 50
+    for size in (0.3, 0.1, 0.03):
+        for _ in range(60):
+            weights = model.weights + size * dice.standard_normal(len(model.weights))
+            thresholds = np.sort(model.thresholds + size * dice.standard_normal(2))
+            assert likelihood(weights, thresholds) <= best + 0.01 * gained
+    found = {r.doc_id: r.toxicity for r in toxicity.grade(docs, model).collect() if r.doc_id is not None}
+    for (i, text, _), _ in zip(rows, range(160)):
+        score = sum(model.weights[model.words[f]] for f in toxicity.features_of(toxicity.words_of(text)) & set(model.words))
+        want = sum(1 / (1 + math.exp(t - score)) for t in model.thresholds)
+        assert math.isclose(found[i].severity, want, rel_tol=1e-9)
+    assert toxicity.grade(docs, model).columns == ["doc_id", "text", "toxic", "toxicity"]
+
+
 # ---- URLs ---------------------------------------------------------------------------------------
 
 RULES = [("com", "/", "allow"), ("Example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/f", "block"), (None, "/", "block"), ("com", "/", "allow")]
