@@ -10,7 +10,7 @@ from mailloom.functions.matching import find_all, regex_hits
 from mailloom.functions.markup import html_text
 from mailloom.operators import amounts, attachments, language, numbers, spam, terms
 from mailloom.operators.geo import clean_ip, ip_number
-from mailloom.operators.normalize import decode_words, parse_addresses, parse_message, sent_epoch, to_text
+from mailloom.operators.normalize import ascii_variant, decode_words, parse_addresses, parse_message, sent_epoch, to_text
 
 MONEY = """Invoice 88 for the roof: pay $310.75 by Monday, or 45 $ a week.
 Balance due  $7400
@@ -250,6 +250,15 @@ def test_html_only_body_and_unnamed_attachment():
     assert named["body"] == "hi" and named["body_as_html"] is False
 
 
+def test_ascii_variant_reads_addresses_anew(spark):
+    rows = [("1", ["\u00dcnal <A.\u00e9B@X.example>\tC@y.example\nD@z.example", "'O'Neil' <o'neil@w.example>"], ["x"], "caf\u00e9\ttea\rend", "b\u00f6dy", [("My & f/\u00edle.TXT",)])]
+    schema = "id string, senders_line array<string>, senders array<string>, subject string, body string, attachments array<struct<filename:string>>"
+    row = ascii_variant(spark.createDataFrame(rows, schema)).first()
+    assert row.senders_line == [" nal <a. b@x.example>;c@y.example;d@z.example", "'o'neil' <o'neil@w.example>"]
+    assert row.senders == ["a. b@x.example", "c@y.example", "d@z.example", "oneil@w.example"]
+    assert (row.subject, row.body, row.attachments[0].filename) == ("caf  tea end", "b dy", "my___f__le.txt")
+
+
 def test_attached_message_is_an_attachment():
     inner = "Subject: inner\n\ninner text\n"
     outer = (
