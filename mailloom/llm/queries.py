@@ -191,8 +191,12 @@ generic AS MATERIALIZED (
     WHERE regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')
       AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = g.r AND b.start < g.stop AND g.start < b.stop)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM generic),
-owners AS (SELECT value, count(DISTINCT coalesce(source, '')) AS n FROM every JOIN texts USING (r) GROUP BY value),
-kept AS (SELECT every.* FROM every JOIN owners USING (value) WHERE rank < 3 OR n <= 2)
+owners AS (
+    SELECT value, count(*) AS n, max(repositories) AS most FROM (
+        SELECT value, coalesce(source, '') AS owner, count(DISTINCT coalesce(doc_id::VARCHAR, '-') || ' ' || md5(t)) AS repositories
+        FROM every JOIN texts USING (r) GROUP BY ALL)
+    GROUP BY value),
+kept AS (SELECT every.* FROM every JOIN owners USING (value) WHERE rank < 3 OR (n <= 2 AND most <= 10))
 SELECT doc_id,
        count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
        count(*) FILTER (kind = 'hex') AS n_hex,

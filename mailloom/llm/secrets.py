@@ -4,8 +4,8 @@ Three base kinds are found by pattern: assignments, access keys and long hexadec
 adds runs of `GENERIC` characters that mix lower case, upper case and digits, if no base span
 overlaps them and the value is specific: the digests of all values are counted over the corpus by
 distinct owners and, within an owner, by distinct repositories, and a value of more than
-`OWNERS` owners is an example that was copied around. Base spans stay whatever their count; it
-is reported beside them.
+`OWNERS` owners, or in more than `REPOSITORIES` repositories of one owner, is an example that was copied
+around. Base spans stay whatever their count; it is reported beside them.
 
 Only column expressions are used. Offsets come from the pieces between the matches. Counting goes
 from (value, owner, repository) up, so a value that a third of all documents have is summed before it
@@ -29,6 +29,8 @@ BASE = (
 )
 GENERIC = r"[A-Za-z0-9_+/=-]{20,}"
 OWNERS = 2
+#: repositories of one owner that may share a value of its own
+REPOSITORIES = 10
 KINDS = [kind for kind, *_ in BASE] + ["generic"]
 SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
@@ -97,7 +99,8 @@ def find(
 ) -> DataFrame:
     """(id column, `into`): for every row an array of spans <start, end, kind, digest, owners, repositories, live>.
 
-    Spans are sorted by start and then kind. `live` is false for values of more than `OWNERS` owners.
+    Spans are sorted by start and then kind. `live` is false for values of more than `OWNERS` owners or in more
+    than `REPOSITORIES` repositories of one owner.
     A document is a repository of its own unless a column names one. A null owner counts as one
     owner. A null text has no spans; repeated rows are one repository.
     """
@@ -119,10 +122,10 @@ def find(
     counts = (
         each.select("digest", owners.alias("owner"), F.coalesce("repo", F.lit("")).alias("repo")).distinct()
         .groupBy("digest", "owner").agg(F.count("*").alias("repositories"))
-        .groupBy("digest").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+        .groupBy("digest").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.max("repositories").alias("most"))
     )
     kind = F.get(F.array(*map(F.lit, KINDS)), F.col("rank"))
-    live = F.col("owners") <= OWNERS
+    live = (F.col("owners") <= OWNERS) & (F.col("most") <= REPOSITORIES)
     spans = (
         each.select("key", "start", "rank", "end", "digest").distinct().join(counts, "digest")
         .where((F.col("rank") < len(BASE)) | live)

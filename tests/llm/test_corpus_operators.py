@@ -368,6 +368,18 @@ def test_secrets(spark):
     assert secrets.find(docs.limit(0)).count() == 0
 
 
+def test_values_in_many_repositories_of_an_owner_are_examples(spark):
+    few, many = "FewCopies1234ofThisKeyA", "ManyCopies1234ofThisKey"
+    rows = [(i, f"{many} {few if i < secrets.REPOSITORIES else 'none'} {i}", "src0") for i in range(secrets.REPOSITORIES + 1)]
+    rows += [rows[0]] * 30
+    found = secrets.find(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    seen = Counter((r.doc_id, s.repositories, s.end - s.start) for r in found for s in r.secrets)
+    assert set(seen) == {(i, secrets.REPOSITORIES, len(few)) for i in range(secrets.REPOSITORIES)}
+    # a column may name the repositories; all rows are in one then
+    named = spark.createDataFrame([(*r, "repo") for r in rows], "doc_id long, text string, source string, name string")
+    assert all(len(r.secrets) >= 1 for r in secrets.find(named, repository="name").collect())
+
+
 # ---- top-k --------------------------------------------------------------------------------------
 
 
