@@ -11,6 +11,7 @@ from mailloom.functions.markup import html_text
 from mailloom.operators import amounts, attachments, language, numbers, spam, terms
 from mailloom.operators.geo import clean_ip, ip_number
 from mailloom.operators.normalize import ascii_variant, decode_words, parse_addresses, parse_message, sent_epoch, to_text
+from workloads import catalog
 
 MONEY = """Invoice 88 for the roof: pay $310.75 by Monday, or 45 $ a week.
 Balance due  $7400
@@ -299,3 +300,14 @@ def test_bytes_without_a_charset(spark, data, text):
 )
 def test_character_references(spark, html, text):
     assert one(spark, html, html_text) == text
+
+
+def test_long_subjects_outside_ascii_are_one_encoded_word(spark, tmp_path):
+    text = "Èê " * 30
+    rows = [(4400, text, "fr", "x", len(text)), (4401, text, "fr", "x", len(text))]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.id: r for r in catalog.QUERIES["message_rows"](spark, str(tmp_path)).collect()}
+    assert {i: (r.subject, r.message_id, r.n_attachments) for i, r in found.items()} == {
+        "d4400": (text[:40], "<4400 @x>", 2), "d4401": (text[:40], "<4401 @x>", 1)}
+    files = catalog.QUERIES["message_attachments"](spark, str(tmp_path)).collect()
+    assert [(r.id, r.filename, r.filesize) for r in files] == [("d4400", "List 4400.CSV", len(text[:40].encode()))]

@@ -245,7 +245,8 @@ def raw_messages(spark, sf_dir):
         F.when(F.col("doc_id") % 3 == 0, F.lit("To: Undisclosed-Recipient:;")),
         F.concat(F.lit("Delivered-To: box"), n, F.lit("@d.example")),
         F.concat(F.lit("Date: Thu, 17 Jun 2010 12:00:00 +0"), (F.col("doc_id") % 10).cast("string"), F.lit("00")),
-        F.concat(F.lit("Subject: =?utf-8?B?"), encoded(F.col("subject")), F.lit("?=")),
+        # an encoded word is one line, however long Spark's lines of base64 are
+        F.concat(F.lit("Subject: =?utf-8?B?"), F.replace(encoded(F.col("subject")), F.lit("\r\n"), F.lit("")), F.lit("?=")),
         F.concat(F.lit("Message-ID: <"), n, F.lit("\t@x>")),
         F.lit('MIME-Version: 1.0\nContent-Type: multipart/mixed; boundary="cut"\n\n--cut'),
         F.lit("Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: base64\n"),
