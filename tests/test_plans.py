@@ -329,3 +329,23 @@ def test_both_uses_of_the_node_table_share_their_shuffle(spark):
     nodes = A.node_index(A.weighted_edges(fixtures.mail(spark, SF_DIR)))
     nodes.collect()
     assert "ReusedExchange" in nodes._jdf.queryExecution().executedPlan().toString()
+
+
+def test_phrases_are_looked_up_by_small_tables(spark):
+    """Levels of the trie are written tables of hashes, so that the planner can tell that they are small."""
+    words = [(["a", "b", "c"],), (["a", "b", "d"],), (["a"],)]
+    listed = spark.createDataFrame(words, "_words array<string>")
+    levels = entities.phrase_trie(listed, [], 3)
+    assert [dict(level.dtypes)["_prefix"] for level in levels] == ["bigint", "bigint"]
+    assert all("Exchange" not in plan(level) for level in levels)
+    assert [sorted((list(r._ends), r._depth) for r in level.collect()) for level in levels] == [[([1], 3)], [([3], 3)]]
+
+
+def test_no_words_travel_with_a_place_in_a_text(spark):
+    words = [f"w{i}" for i in range(32)]
+    gazetteer = spark.createDataFrame([(" ".join(words[i:] + words[:i]), "MISC", 1.0) for i in range(32)], "phrase string, tag string, score double")
+    docs = spark.range(50).select("id", F.lit(" ".join(words * 30)).alias("body"))
+    found = entities.match_gazetteer(docs, gazetteer)
+    text = without_broadcast(spark, lambda: found)
+    assert "_run" not in text
+    assert found.count() == 50 * 30
