@@ -311,3 +311,12 @@ def test_long_subjects_outside_ascii_are_one_encoded_word(spark, tmp_path):
         "d4400": (text[:40], "<4400 @x>", 2), "d4401": (text[:40], "<4401 @x>", 1)}
     files = catalog.QUERIES["message_attachments"](spark, str(tmp_path)).collect()
     assert [(r.id, r.filename, r.filesize) for r in files] == [("d4400", "List 4400.CSV", len(text[:40].encode()))]
+
+
+def test_rare_trigrams_tell_the_language_of_an_attachment(spark, tmp_path):
+    texts = [(1, "the house is red", "en"), (2, "zut la maison ou", "fr")]
+    spark.createDataFrame(texts, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    pages = [(1, "zut la maison", "<p>the house is</p>")]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = catalog.QUERIES["attachment_language"](spark, str(tmp_path)).collect()
+    assert sorted(r.lang for r in found) == ["en", "fr"]

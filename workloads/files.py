@@ -74,7 +74,7 @@ def attachment_text_by_extension(spark, sf_dir):
 
 
 @query(
-    f"""WITH {EXTRACTED}, texts AS (SELECT guid AS id, content AS body, 0 AS half FROM extracted WHERE content IS NOT NULL), {lang_sql()}
+    f"""WITH {EXTRACTED}, texts AS (SELECT guid AS id, content AS body, 0 AS half FROM extracted WHERE content IS NOT NULL), {lang_sql(least=1)}
     SELECT extracted.id, extracted.guid, CASE WHEN lang IS NULL OR gap < n * 20000 THEN 'UNKNOWN' ELSE lang END AS lang
     FROM extracted LEFT JOIN (SELECT id AS guid, lang, gap, n FROM ordered WHERE place = 1) USING (guid)"""
 )
@@ -83,7 +83,8 @@ def attachment_language(spark, sf_dir):
     texts = sidecar.select(F.explode("attachments").alias("a")).select(
         F.col("a.guid").alias("id"), F.col("a.content").alias("body")
     )
-    profile = L.train_profile(docs(spark, sf_dir).select("lang", "body"), L.LEAST_GRAMS)
+    # every trigram of the corpus counts
+    profile = L.train_profile(docs(spark, sf_dir).select("lang", "body"))
     languages = L.detect_language(
         texts.where(F.col("body").isNotNull()), profile, unsure="UNKNOWN", margin=0.02
     )
