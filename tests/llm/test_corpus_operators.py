@@ -442,3 +442,25 @@ def test_pipeline_stages(spark, tmp_path):
     empty = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
+
+
+def test_commonness_counts_all_lines(spark):
+    """400,000 lines of one word pair, none of them at an even place."""
+    every = spark.range(1, 800_000, 2).select(F.col("id").alias("line"), F.lit("aabb").alias("letters"))
+    ranks = lines.commonness(every)
+    assert [r for r in ranks if r] == [111]
+
+
+def test_pipeline_learns_languages_from_all_rows(spark):
+    import corpus_pipeline
+    from mailloom.llm import language_id
+
+    texts = spark.range(200).withColumnRenamed("id", "doc_id").where(language_id.held_out(F.col("doc_id")))
+    even = F.col("doc_id") % 2 == 0
+    docs = texts.select(
+        "doc_id",
+        F.when(even, F.lit("the house is red and the door is open")).otherwise(F.lit("la maison est rouge et la porte est ouverte")).alias("text"),
+        F.when(even, F.lit("en")).otherwise(F.lit("fr")).alias("lang"),
+    )
+    assert docs.count() > 0
+    assert corpus_pipeline.by_language(spark, docs, "").count() == docs.count()
