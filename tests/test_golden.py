@@ -320,3 +320,13 @@ def test_rare_trigrams_tell_the_language_of_an_attachment(spark, tmp_path):
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     found = catalog.QUERIES["attachment_language"](spark, str(tmp_path)).collect()
     assert sorted(r.lang for r in found) == ["en", "fr"]
+
+
+def test_profiles_are_learned_without_counting_in_the_row(spark, monkeypatch):
+    """Occurrences are counted before the shuffle; no text is sorted."""
+    texts = spark.createDataFrame([("en", "abcabc"), ("en", "ABC"), ("fr", None), ("fr", "ab"), ("es", "bca")], "lang string, body string")
+    monkeypatch.setattr(language, "gram_counts", None)
+    profile = language.train_profile(texts)
+    assert {r.gram: (r.w_en, r.w_es) for r in profile.weights.collect()} == {
+        "abc": (1386294, None), "bca": (693147, 693147), "cab": (693147, None)}
+    assert sorted(profile.floors) == ["en", "es"]
