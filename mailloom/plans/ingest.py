@@ -101,7 +101,7 @@ def enrich(emails: DataFrame, lookups: Lookups | None = None, documents: bool =
     out = A.assign_communities(out, assigned)
     vectors, vocab = _vectors(base, lookups.vocabulary)
     model = topics.fit_lda(vectors, lookups.topic_count, lookups.topic_iterations)
-    scores = topics.doc_topics(model, vectors)
+    scores = topics.doc_topics(model)
     out = out.join(scores.withColumnRenamed("scores", "topic_scores"), "id", "left")
     if lookups.lexicon is not None:
         texts = base.select("id", "body")
