@@ -12,7 +12,7 @@ from mailloom.plans.ingest import Lookups, enrich, land
 from mailloom.runtime import checkpointed
 from mailloom.operators.index import to_schema
 from mailloom.sources.records import stamp
-from workloads import fixtures, places
+from workloads import catalog, fixtures, places
 from workloads.files import page_mail
 from workloads.messages import raw_messages
 
@@ -349,3 +349,11 @@ def test_no_words_travel_with_a_place_in_a_text(spark):
     text = without_broadcast(spark, lambda: found)
     assert "_run" not in text
     assert found.count() == 50 * 30
+
+
+def test_addresses_are_numbered_without_shuffling_pairs(spark):
+    emails = fixtures.mail(spark, "/root/testdata/sf0.001")
+    nodes = A.mail_nodes(emails)
+    assert "hashpartitioning(src" not in plan(nodes)
+    assert {tuple(r) for r in nodes.collect()} == {tuple(r) for r in A.node_index(A.weighted_edges(emails)).collect()}
+    assert "hashpartitioning(src" not in plan(catalog.QUERIES["node_index"](spark, "/root/testdata/sf0.001"))
