@@ -208,27 +208,31 @@ def merge_sidecar(
     own = [f.name for f in emails.schema["attachments"].dataType.elementType.fields]
     side_fields = sidecar.schema["attachments"].dataType.elementType.fields
     side = [f.name for f in side_fields if f.name != "guid" and (fields is None or f.name in fields)]
-    types = {f.name: f.dataType for f in emails.schema["attachments"].dataType.elementType.fields}
+    types = {f.name: f.dataType for f in side_fields}
     joined = emails.join(sidecar.select("id", F.col("attachments").alias("_side")), "id", "left")
+    nothing = F.struct(*[F.lit(None).cast(types[name]).alias(name) for name in side])
 
-    def latest(entries: Column, name: str) -> Column:
-        values = F.filter(F.transform(entries, lambda e: e[name]), lambda v: v.isNotNull())
-        return F.get(values, F.size(values) - 1)
-
-    def overlay(a: Column, i: Column) -> Column:
-        first = F.array_position(F.transform("attachments", lambda o: o.guid), a.guid) == i + 1
-        entries = F.when(first, F.filter("_side", lambda e: e.guid == a.guid))
-        merged = [
-            F.coalesce(latest(entries, name), a[name]).alias(name)
-            if name in own and name in side
-            else a[name].alias(name)
-            if name in own
-            else latest(entries, name).alias(name)
-            for name in own + [n for n in side if n not in own]
-        ]
-        return F.struct(*merged)
-
-    merged = joined.withColumn("attachments", F.transform("attachments", overlay))
+    def later(found: Column, e: Column) -> Column:
+        return F.struct(*[F.coalesce(e[name], found[name]).alias(name) for name in side])
+
+    # all fields in one walk over the entries, which each attachment looks up once
+    def overlay(a: Column, first: Column) -> Column:
+        entries = F.filter("_side", lambda e: e.guid == a.guid)
+        latest = F.when(first, F.aggregate(entries, nothing, later)) if side else None
+
+        def merged(new: Column | None) -> Column:
+            return F.struct(
+                *[(F.coalesce(new[name], a[name]) if name in side else a[name]).alias(name) for name in own],
+                *[new[name].alias(name) for name in side if name not in own],
+            )
+
+        return merged(None) if latest is None else _with(latest, merged)
+
+    guids = F.transform("attachments", lambda a: a.guid)
+    overlaid = _with(
+        guids, lambda g: F.transform("attachments", lambda a, i: overlay(a, F.array_position(g, a.guid) == i + 1))
+    )
+    merged = joined.withColumn("attachments", overlaid)
     if documents:
         names = set(own) | set(side)
 
@@ -240,7 +244,7 @@ def merge_sidecar(
 
         def step(body: Column, entry: Column) -> Column:
             owner = F.get(F.filter("attachments", lambda a: a.guid == entry.guid), F.lit(0))
-            return F.coalesce(text_of(owner), body)
+            return F.coalesce(_with(owner, text_of), body)
 
         merged = merged.withColumn(
             "body",
