@@ -1,10 +1,6 @@
 """Work that a row needs once is done once."""
 
-from collections import Counter
-
-from pyspark.sql import functions as F
-
-from mailloom.operators import attachments
+from mailloom.operators import attachments, terms
 
 
 def analyzed(df):
@@ -47,3 +43,17 @@ def test_sidecar_entries_are_looked_up_once_for_all_fields(spark):
     }
     # before, the place of the attachment was sought and the entries were filtered twice for each field
     assert analyzed(attachments.merge_sidecar(mails, side)).count("array_position") == 1
+
+
+def test_terms_and_trigrams_stay_where_their_text_is(spark):
+    docs = spark.createDataFrame(
+        [("1", "alpha beta"), ("1", "beta gamma"), ("2", None), (None, "alpha"), (None, "alpha"), ("3", "")], "id string, body string"
+    )
+    counts = {(r.id, r.term): r.n for r in terms.term_counts(docs).collect()}
+    assert counts == {("1", "alpha"): 1, ("1", "beta"): 2, ("1", "gamma"): 1, (None, "alpha"): 2}
+    grams = {(r.id, r.gram): r.n for r in terms.trigram_vectors(docs).collect()}
+    assert grams[("1", "bet")] == 2 and grams[(None, "pha")] == 2 and sum(grams.values()) == 16
+    for df in (terms.term_counts(docs), terms.trigram_vectors(docs)):
+        # before, a row for each term or trigram of a text was shuffled
+        physical = df._jdf.queryExecution().executedPlan().toString()
+        assert physical.count("Exchange hashpartitioning(id#") == 1 == physical.count("Exchange ")
