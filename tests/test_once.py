@@ -1,6 +1,9 @@
 """Work that a row needs once is done once."""
 
-from mailloom.operators import attachments, terms
+from pyspark.sql import functions as F
+
+from mailloom.operators import addresses, attachments, terms
+from workloads import fixtures
 
 
 def analyzed(df):
@@ -57,3 +60,22 @@ def test_terms_and_trigrams_stay_where_their_text_is(spark):
         # before, a row for each term or trigram of a text was shuffled
         physical = df._jdf.queryExecution().executedPlan().toString()
         assert physical.count("Exchange hashpartitioning(id#") == 1 == physical.count("Exchange ")
+
+
+def test_address_history_reads_a_mail_once(spark):
+    file = [("g2", "b", "secret"), ("g1", "a", "secret")]
+    mails = spark.createDataFrame(
+        [("m2", "2024-01-05", ["a", "x"], ["b", "b", ""], file), ("m1", "2024-01-09", ["a"], ["a"], None), ("m3", "", ["", "a"], ["b"], file)],
+        "id string, datetime string, senders array<string>, tos array<string>, attachments array<struct<guid:string,filename:string,content:string>>",
+    ).withColumns({"ccs": F.lit(None).cast("array<string>"), "bccs": F.lit(None).cast("array<string>")})
+    history = addresses.address_history(mails)
+    rows = {(r.addr, str(r.month)[:7]): tuple([tuple(e) for e in r[c]] for c in ("sender", "recepient", "sender_attachments")) for r in history.collect()}
+    m1, m2 = ("m1", "2024-01-09"), ("m2", "2024-01-05")
+    assert rows == {
+        ("a", "2024-01"): ([m1, m2], [m1], [(*m2, "g1", "a"), (*m2, "g2", "b")]),
+        ("b", "2024-01"): ([], [m2], []),
+        ("b", "None"): ([], [("m3", None)], []),
+    }
+    # before, the mails were read a second time for their files
+    physical = addresses.address_history(fixtures.mail(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("FileScan") == 1
