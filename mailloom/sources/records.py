@@ -45,7 +45,9 @@ def split_sidecar(lines: DataFrame, kind: T.DataType = schemas.TEXT_SIDECAR) ->
     rows = lines.select("value", key.alias("id"), rest.alias("json"))
     valid = F.expr("try_parse_json(json) IS NOT NULL")
     bad = rows.where(~valid).select("value", F.lit("not a JSON record").alias("error"))
-    return rows.where(valid).select("id", F.from_json("json", kind).alias("attachments")), bad
+    # a generator, since a filter would be moved under the line's own expressions and these computed again for it
+    read = F.when(valid, F.array(F.struct("id", F.from_json("json", kind).alias("attachments"))))
+    return rows.select(F.inline_outer(read)).where("id IS NOT NULL"), bad
 
 
 def parse_sidecar(lines: DataFrame, kind: T.DataType = schemas.TEXT_SIDECAR) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from mailloom.operators import addresses, attachments, terms
+from mailloom.sources import records
 from workloads import fixtures
 
 
@@ -79,3 +80,16 @@ def test_address_history_reads_a_mail_once(spark):
     # before, the mails were read a second time for their files
     physical = addresses.address_history(fixtures.mail(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert physical.count("FileScan") == 1
+
+
+def test_sidecar_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([('1\t[{"guid":"g","content":"c"}]',), ("2\t[{",), (None,), ("3\t[]",), ("4\tnull",), ("\t[]",), ("5",)], "value string")
+    good, bad = records.split_sidecar(lines)
+    assert [(r.id, r.attachments and [a.guid for a in r.attachments]) for r in good.collect()] == [("1", ["g"]), ("3", []), ("4", None), ("", [])]
+    assert good.columns == ["id", "attachments"] and bad.where("value IS NOT NULL").count() == 2
+    made = spark.range(3).select(F.concat("id", F.lit("\t"), F.to_json(F.array(F.struct("id")))).alias("value"))
+    rows = records.parse_sidecar(made).select("id", F.explode("attachments"))
+    # before, a line was made and parsed once for the filter and again for the columns
+    assert "from_json(" in analyzed(rows)
+    optimized = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("StructsToJsonEvaluator") == 1 == optimized.count("from_json(")
