@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from mailloom.operators import addresses, attachments, terms
+from mailloom.operators import addresses, attachments, language, terms
 from mailloom.sources import records
 from workloads import fixtures
 
@@ -93,3 +93,18 @@ def test_sidecar_lines_are_parsed_once(spark):
     assert "from_json(" in analyzed(rows)
     optimized = rows._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("StructsToJsonEvaluator") == 1 == optimized.count("from_json(")
+
+
+def test_punctuation_is_peeled_with_each_pattern_once(spark):
+    words = ["(e.g.,", "...", "U.S.!", "'em", "\"(x)\"", "a", "-", "mr.).", "¿qué?"]
+    rows = spark.createDataFrame([(" ".join(words),)], "t string").select(language.text_pieces(F.col("t")).alias("p"))
+    assert "".join(rows.first().p) == " ".join(words)
+    # before, eight searches a word
+    assert analyzed(rows).count("regexp_extract(") == 3
+
+
+def test_a_long_text_is_translated_from_one_dictionary(spark):
+    lexicon = spark.createDataFrame([("xx", f"w{i}", f"t{i}") for i in range(0, 6000, 2)], "lang string, word string, translation string")
+    text = " ".join(f"W{i}," for i in range(6000))
+    done = language.translate_fields(spark.createDataFrame([("1", "xx", text, None)], "id string, lang string, a string, b string"), ["a", "b"], lexicon).first()
+    assert done.a_translated == " ".join(f"t{i}," if i % 2 == 0 else f"W{i}," for i in range(6000)) and done.b_translated is None
