@@ -71,6 +71,41 @@ def test_no_two_communities_gain_by_uniting(spark):
     assert gain_of_merging(pairs, of) <= 0
 
 
+def first_level(spark, pairs):
+    """What a level starts with: (links, state, total); nodes are numbered in the order of their names."""
+    names = sorted({x for pair in pairs for x in pair})
+    nodes = spark.createDataFrame([(name, i) for i, name in enumerate(names)], "addr string, idx bigint")
+    adjacency = C._adjacency(graph(spark, pairs), nodes)
+    degrees = adjacency.groupBy("u").agg(F.sum("w").alias("k"))
+    links = adjacency.join(degrees, "u").where("u <> v").select("u", "v", "w", "k").cache()
+    state = degrees.select(F.col("u").alias("node"), F.col("u").alias("c"), "k", F.col("k").alias("tot"))
+    return links, state, 2 * len(pairs)
+
+
+def test_all_leaves_enter_a_hub_in_one_round(spark):
+    links, state, total = first_level(spark, [("hub", f"leaf{i:02d}") for i in range(30)])
+    moved = C._moved(C._propose(links, state, total), 0, True, total).collect()
+    assert {(r.c, r.tot) for r in moved} == {(0, 60)} and len(moved) == 31
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_rounds_of_few_movers_always_raise_modularity(spark, large):
+    """Also where gains are decimals, with weights that add up to over 2^31."""
+    rnd = random.Random(5)
+    pairs = list({tuple(sorted(rnd.sample([f"p{i:03d}" for i in range(120)], 2))) for _ in range(500)} | {("hub", f"p{i:03d}") for i in range(90)})
+    links, state, total = first_level(spark, pairs)
+    factor = 2**31 // total + 1 if large else 1
+    links = links.withColumn("w", F.col("w") * factor).withColumn("k", F.col("k") * factor)
+    state = state.withColumn("k", F.col("k") * factor).withColumn("tot", F.col("tot") * factor)
+    total *= factor
+    last = None
+    for turn in range(4):
+        proposal = C.checkpointed(C._propose(links, state, total))
+        quality, moving, nodes = C._quality(proposal, 0, total)
+        assert nodes == 121 and moving > 0 and (last is None or quality > last)
+        last, state = quality, C.checkpointed(C._moved(proposal, turn, True, total))
+
+
 def test_modularity_of_two_cliques(spark):
     edges = graph(spark, clique("a", 6) + clique("b", 6) + [("a0", "b0")])
     nodes = A.node_index(edges)
