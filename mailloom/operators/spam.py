@@ -12,6 +12,8 @@ SPAM, NONSPAM = "spam", "nonspam"
 
 # log odds are whole millionths, so a score does not depend on the order of rows
 SCALE = 1_000_000
+# tokens of a model that may be broadcast; at 100 bytes a token this is 20 MB
+BROADCAST_TOKENS = 200_000
 
 
 def spam_tokens(text: Column) -> Column:
@@ -56,13 +58,17 @@ def spam_model(counts: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(id, score, predicted) of (id, body); each distinct token counts once, no evidence is nonspam."""
+    """(id, score, predicted) of (id, body); each distinct token counts once, no evidence is nonspam.
+
+    Next to a small model the tokens of a mail are summed where they are read. A large one is joined by token, where a task would
+    keep a sum for nearly every mail there is; so the rows are dealt out by id first and summed after that.
+    """
     tokens = docs.select("id", F.explode_outer(F.array_distinct(spam_tokens(F.col("body")))).alias("token"))
-    scored = (
-        tokens.join(model, "token", "left")
-        .groupBy("id")
-        .agg(F.coalesce(F.sum("log_odds"), F.lit(0)).alias("score"))
-    )
+    if model.limit(BROADCAST_TOKENS + 1).count() <= BROADCAST_TOKENS:
+        odds = tokens.join(F.broadcast(model), "token", "left")
+    else:
+        odds = tokens.join(model, "token", "left").select("id", "log_odds").repartition("id")
+    scored = odds.groupBy("id").agg(F.coalesce(F.sum("log_odds"), F.lit(0)).alias("score"))
     return scored.withColumn(
         "predicted", F.when(F.col("score") > 0, F.lit(SPAM)).otherwise(F.lit(NONSPAM))
     )

@@ -80,3 +80,19 @@ def test_spam_training_adds_up(spark):
     model = S.spam_model(S.count_tokens(whole))
     mails = spark.createDataFrame([("1", "buy pills"), ("2", "lunch?"), ("3", ""), ("4", None)], "id string, body string")
     assert {r.id for r in S.filter_spam(mails, model).collect()} == {"2", "3", "4"}
+
+
+def test_mails_are_dealt_out_before_they_are_summed_next_to_a_large_model(spark, monkeypatch):
+    mails = spark.createDataFrame([(str(i), "buy now " * (i % 3) + "see you") for i in range(40)] + [("none", None)], "id string, body string")
+    model = spark.createDataFrame([("buy", 5), ("now", -1), ("see", -2), ("you", -1)], "token string, log_odds bigint")
+
+    def judged():
+        found = S.classify(mails, model)
+        # below the only exchange by id no sums are kept
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        return {(r.id, r.score, r.predicted) for r in found.collect()}, "RepartitionByExpression [id" in plan
+
+    small, dealt = judged()
+    assert not dealt and ("1", 1, "spam") in small and ("0", -3, "nonspam") in small and ("none", 0, "nonspam") in small
+    monkeypatch.setattr(S, "BROADCAST_TOKENS", 3)
+    assert judged() == (small, True)
