@@ -1,5 +1,6 @@
 """Operators that compare rows with each other, against brute force on small tables."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from mailloom.llm import decontamination, lines, minhash, secrets, spans, topk
 from mailloom.llm.shared import components
+from mailloom.runtime import ensure_checkpoint_dir
 
 TEXTS = "doc_id long, text string"
 
@@ -317,6 +319,36 @@ def test_words_that_share_letters_are_told_apart(spark):
     assert found == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1}
 
 
+def test_lines_are_kept_and_dealt_out_in_few_bytes(spark):
+    """Tables between the steps are smaller than the texts, and a line is dealt out on as few word pairs as will do, as two numbers each."""
+    dice = random.Random(5)
+    texts = [" ".join(words(dice, 60, 10**6)) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), TEXTS)
+    before = set(kept_files(spark))
+    assert all(not r.deduped.n_removed for r in lines.dedup_lines(docs).collect())
+    assert sum(os.path.getsize(f) for f in set(kept_files(spark)) - before) < sum(map(len, texts))
+    spelled = spark.createDataFrame([(i, "abcdefghijklmnopqrstuvwxyz"[: 2 * n]) for i, n in enumerate((5, 9, 10, 13))], "rid long, letters string")
+    keys = lines.line_keys(spelled)
+    assert dict(keys.dtypes) == {"key": "bigint", "rid": "bigint"}
+    assert Counter(r.rid for r in keys.collect()) == {0: 3, 1: 4, 2: 5, 3: 5}
+
+
+def kept_files(spark):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    return [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names]
+
+
+def test_only_the_place_of_a_pair_that_stands_once_keeps_lines_apart(spark):
+    def key(n, p):
+        return n << 12 | p
+
+    far = lines.FAR
+    rows = [(10, 2, 10, 3, True), (10, 2, 10, 4, False), (10, 2, 12, 2, True), (10, 2, 12, 3, True), (10, 2, 12, 6, False), (10, far, 10, 9, True),
+            (10, far, 13, 9, False), (far, 0, 10, 0, True), (10, 0, far, far, True)]
+    found = spark.createDataFrame([(key(n, p), key(m, q)) for n, p, m, q, _ in rows], "a long, b long").select(lines.may_link(F.col("a"), F.col("b")).alias("x"))
+    assert [r.x for r in found.collect()] == [r[-1] for r in rows]
+
+
 def test_words_become_letters(spark):
     hashes = F.transform(F.split("t", " "), lambda w: F.xxhash64(w))
     row = spark.createDataFrame([("ab cd ab",)], "t string").select(lines.spelled(hashes).alias("x")).first().x
