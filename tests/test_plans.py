@@ -357,3 +357,17 @@ def test_addresses_are_numbered_without_shuffling_pairs(spark):
     assert "hashpartitioning(src" not in plan(nodes)
     assert {tuple(r) for r in nodes.collect()} == {tuple(r) for r in A.node_index(A.weighted_edges(emails)).collect()}
     assert "hashpartitioning(src" not in plan(catalog.QUERIES["node_index"](spark, "/root/testdata/sf0.001"))
+
+
+def test_longer_runs_are_dealt_out_as_short_hashes(spark):
+    """Prefixes of two words and more have 32 bits, two levels share a column, and phrases of any length are still found."""
+    phrases = [" ".join(f"w{i}" for i in range(n)) for n in (1, 2, 3, 5, 9, 17, 20)]
+    gazetteer = spark.createDataFrame([(p, len(p)) for p in phrases], "phrase string, n int")
+    listed = gazetteer.select(F.split("phrase", " ").alias("_words"))
+    levels = entities.phrase_trie(listed, [], 20)
+    assert [0 < r._prefix <= entities.SHORT for states in levels[1:] for r in states.collect()] == [True] * 4
+    texts = [(n, " ".join(f"w{i}" for i in range(n)) + " end") for n in range(1, 23)]
+    found = entities.match_gazetteer(spark.createDataFrame(texts, "id int, body string"), gazetteer).where("start = 0").collect()
+    assert {r.id: r.words for r in found} == {n: max(w for w in (1, 2, 3, 5, 9, 17, 20) if w <= n) for n in range(1, 23)}
+    hashed = spark.range(1).select(*(F.lit(h).cast("long").alias(f"_h{w}") for w, h in ((1, 5), (2, 2**40 + 7), (4, 2**32), (8, None))))
+    assert hashed.select(*entities._packed([1, 2, 4, 8])).first().asDict() == {"_p0": (7 << 32) + 1, "_p1": 0}
