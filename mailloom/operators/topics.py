@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
+from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +94,11 @@ def _block(row) -> tuple:
     return row.ids, np.frombuffer(row.draws, np.int64), starts, np.frombuffer(row.terms, np.int32), np.frombuffer(row.counts)
 
 
+def _singly(rdd: RDD) -> RDD:
+    """The same elements, pickled one at a time: zip() would else pickle a hundred together, and a task hold so many blocks at once."""
+    return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1))
+
+
 def first_shares(draws: np.ndarray, k: int) -> np.ndarray:
     """One row per topic: what each document starts from, drawn from its own number alone."""
     with np.errstate(over="ignore"):
@@ -138,14 +144,14 @@ def fit_lda(vectors: DataFrame, k: int = TOPICS, iterations: int = ITERATIONS, s
     packed = cells.where(F.size("counts") > 0).select("id", "draw", "terms", "counts").mapInArrow(
         _packed, "ids array<string>, draws binary, lengths binary, terms binary, counts binary"
     )
-    blocks = packed.repartition(context.defaultParallelism).rdd.map(_block).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _singly(packed.repartition(context.defaultParallelism).rdd.map(_block)).persist(StorageLevel.MEMORY_AND_DISK)
     alpha, eta = 50.0 / k, 0.1
     totals = np.random.default_rng(seed).random((k, width))
     totals /= totals.sum(axis=0)
-    state: RDD = blocks.map(lambda b: (first_shares(b[1], k), None))
+    state: RDD = _singly(blocks.map(lambda b: (first_shares(b[1], k), None)))
     for turn in range(iterations):
         weights = context.broadcast((totals + eta) / (totals.sum(axis=1, keepdims=True) + eta * width))
-        after = blocks.zip(state).map(lambda x, w=weights: shared_out(x[0], x[1][0], w.value, alpha))
+        after = _singly(blocks.zip(state).map(lambda x, w=weights: shared_out(x[0], x[1][0], w.value, alpha)))
         after.persist(StorageLevel.MEMORY_AND_DISK)
         if turn % CHECKPOINT_INTERVAL == CHECKPOINT_INTERVAL - 1:
             after.checkpoint()

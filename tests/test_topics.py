@@ -54,3 +54,13 @@ def test_top_terms_come_by_weight(spark):
     vocab = spark.createDataFrame([(i, f"w{i}") for i in range(4)], "idx bigint, term string")
     rows = P.describe_topics(model, vocab, 2).orderBy("topic", "position").collect()
     assert [(r.topic, r.position, r.term, r.score) for r in rows] == [(0, 0, "w3", 0.5), (0, 1, "w1", 0.375), (1, 0, "w0", 0.5), (1, 1, "w2", 0.5)]
+
+
+def test_blocks_are_pickled_one_at_a_time(spark):
+    """A block may have megabytes; zip() packs a hundred elements together unless they come one by one."""
+    numbers = spark.sparkContext.parallelize(range(300), 3)
+    blocks = P._singly(numbers.map(lambda i: (i, "block")))
+    state = P._singly(blocks.map(lambda b: -b[0]))
+    both = blocks.zip(state)
+    assert both._jrdd.count() == blocks._jrdd.count() == 300
+    assert both.collect() == [((i, "block"), -i) for i in range(300)]
